@@ -59,53 +59,81 @@ def adroll_channel(c: Column) -> Column:
     return first_label(F.lower(c), S.ADROLL_LABELS, S.ADROLL_DEFAULT)
 
 
-def _pair(channel: Column | str, group: str) -> Column:
-    channel = F.lit(channel) if isinstance(channel, str) else channel
-    return F.struct(channel.alias("channel"), F.lit(group).alias("grp"))
-
-
-def utm_class(utm: Column, lowered: Column | None = None) -> Column:
-    """Struct (channel, grp) of a lead's UTM source; the first rule that applies wins.
-
-    `lowered` is `lower(strip(utm))` when the caller has it as a column already.
-    """
-    low = F.lower(strip(utm)) if lowered is None else lowered
-    table = F.create_map(
-        *[x for k, pair in S.UTM_EXACT.items() for x in (F.lit(k), _pair(*pair))]
-    )
-    exact = F.try_element_at(table, low)
-    rules = (
-        F.when(low.isNull() | low.isin(*S.UTM_BLANK), _pair("Organic", "Organic"))
-        .when(F.translate(low, "-_", "").rlike("^[0-9]+$"), _pair("IB", "IB"))
-        .when(low.startswith("affiliate-"), _pair("Affiliates", "Affiliates"))
+# A lead's origin is first named by one short key, then looked up.  Rules that are
+# not an exact UTM text get keys no UTM text can be, as those are in lower case.
+_CLASSES = {
+    "ORGANIC": ("Organic", "Organic"),
+    "IB": ("IB", "IB"),
+    "AFFILIATES": ("Affiliates", "Affiliates"),
+    "META": ("Meta", "Meta"),
+    **S.UTM_EXACT,
+    **{f"HAS {text}": pair for text, pair in S.UTM_CONTAINS},
+}
+_CHANNELS = {key: pair[0] for key, pair in _CLASSES.items()}
+_GROUPS = {key: pair[1] for key, pair in _CLASSES.items()}
+
+
+def utm_key(low: Column) -> Column:
+    """Key of the first rule a lower-case UTM text satisfies; NULL for none."""
+    key = (
+        F.when(low.isNull() | low.isin(*S.UTM_BLANK), "ORGANIC")
+        .when(F.translate(low, "-_", "").rlike("^[0-9]+$"), "IB")
+        .when(low.startswith("affiliate-"), "AFFILIATES")
         .when(
             low.isin("fb", "ig") | low.startswith("facebook") | low.startswith("instagram"),
-            _pair("Meta", "Meta"),
+            "META",
         )
-        .when(low.isin(*S.UTM_EXACT), exact)
+        .when(low.isin(*S.UTM_EXACT), low)
     )
-    for text, pair in S.UTM_CONTAINS:
-        rules = rules.when(low.contains(text), _pair(*pair))
-    return rules.otherwise(_pair(strip(utm), S.OTHER_GROUP))
+    for text, _ in S.UTM_CONTAINS:
+        key = key.when(low.contains(text), f"HAS {text}")
+    return key
+
+
+def medium_key(kind: Column) -> Column:
+    """Key of the two media that name an origin themselves; NULL for any other."""
+    return F.when(kind == "ib", "IB").when(kind == "affiliates", "AFFILIATES")
+
+
+def _class_of(key: Column, utm: Column) -> tuple[Column, Column]:
+    """Channel and group; neither is ever NULL, so key filters on them cost nothing."""
+    channel = F.coalesce(lookup(key, _CHANNELS), strip(utm), F.lit(""))
+    return channel, lookup(key, _GROUPS, S.OTHER_GROUP)
 
 
-def lead_class(utm: Column, medium: Column, lowered: Column | None = None) -> Column:
+def _struct(key: Column, utm: Column) -> Column:
+    channel, group = _class_of(key, utm)
+    return F.struct(channel.alias("channel"), group.alias("grp"))
+
+
+def utm_class(utm: Column) -> Column:
+    """Struct (channel, grp) of a lead's UTM source; unlisted text is its own channel."""
+    return _struct(utm_key(F.lower(strip(utm))), utm)
+
+
+def lead_class(utm: Column, medium: Column) -> Column:
     """UTM class, overruled by the two media that name an origin themselves."""
     kind = F.lower(strip(medium))
-    return (
-        F.when(kind == "ib", _pair("IB", "IB"))
-        .when(kind == "affiliates", _pair("Affiliates", "Affiliates"))
-        .otherwise(utm_class(utm, lowered))
-    )
+    return _struct(F.coalesce(medium_key(kind), utm_key(F.lower(strip(utm)))), utm)
+
+
+def from_affiliate(utm: Column, medium: Column) -> Column:
+    """True where `lead_class` says Affiliates: the test alone, to drop such leads early."""
+    kind = F.coalesce(F.lower(strip(medium)), F.lit(""))
+    named = F.coalesce(F.lower(strip(utm)).startswith("affiliate-"), F.lit(False))
+    return (kind == "affiliates") | ((kind != "ib") & named)
 
 
 def with_lead_class(df: DataFrame, utm: str = "UTM", medium: str = "Medium") -> DataFrame:
-    """Add Channel and Channel_Group; normalises the text once per row."""
+    """Add Channel and Channel_Group; texts are normalised and keyed once per row."""
+    low, key = F.col("_low"), F.col("_key")
+    channel, group = _class_of(key, F.col(utm))
     return (
         df.withColumn("_low", F.lower(strip(F.col(utm))))
-        .withColumn("_class", lead_class(F.col(utm), F.col(medium), F.col("_low")))
-        .withColumns(
-            {"Channel": F.col("_class.channel"), "Channel_Group": F.col("_class.grp")}
+        .withColumn(
+            "_key",
+            F.coalesce(medium_key(F.lower(strip(F.col(medium)))), utm_key(low)),
         )
-        .drop("_low", "_class")
+        .withColumns({"Channel": channel, "Channel_Group": group})
+        .drop("_low", "_key")
     )

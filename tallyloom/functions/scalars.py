@@ -34,9 +34,16 @@ def not_whole(c: Column) -> Column:
     return F.coalesce(number != F.floor(number), F.lit(False))
 
 
+# Every character Unicode counts as white space; a plain trim knows only the blank.
+WHITE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: Column) -> Column:
     """Remove white space of any kind at both ends, tabs and wide blanks included."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def code(c: Column) -> Column:

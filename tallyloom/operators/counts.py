@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.predicates import in_region
-from tallyloom.schema import LEAD_KEY
+from tallyloom.schema import LEAD_KEY, name
 
 
 def group_size(df: DataFrame, keys: Sequence[str] = LEAD_KEY, out: str = "n") -> DataFrame:
     """Rows per key; a row with a NULL key part is not counted."""
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
+    # One test per key: those on keys that cannot be NULL are optimised away.
+    known = reduce(lambda d, k: d.filter(name(k).isNotNull()), keys, df)
+    return known.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
 
 
 def join_counts(ql: DataFrame, ft: DataFrame, keys: Sequence[str] = LEAD_KEY) -> DataFrame:

@@ -5,6 +5,6 @@ operator of the library and returns what comes out.
 """
 
 from tallyloom.plans.queries.base import ORACLE, QUERIES
-from tallyloom.plans.queries import scalars  # noqa: F401  (fills the registry)
+from tallyloom.plans.queries import frames, scalars  # noqa: F401  (they fill the registry)
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom import settings as S
-from tallyloom.functions.classify import with_lead_class
+from tallyloom.functions.classify import from_affiliate, with_lead_class
 from tallyloom.functions.dates import to_day, ts_dayfirst
 from tallyloom.functions.scalars import strip
 from tallyloom.operators.columns import need
 from tallyloom.operators.counts import group_size, join_counts
-from tallyloom.operators.predicates import funded, in_region, not_affiliate, row_not_blank
+from tallyloom.operators.predicates import funded, in_region, row_not_blank
 from tallyloom.schema import LEAD_KEY, conform
 from tallyloom.sources.grids import SHEET, position_of
 
@@ -60,8 +60,8 @@ def _region_leads(df: DataFrame) -> DataFrame:
 
 def classified(leads: DataFrame) -> DataFrame:
     """Leads with day, channel and group; affiliate leads are counted elsewhere."""
-    out = leads.withColumn("Date", to_day(F.col("Created")))
-    return with_lead_class(out).filter(not_affiliate("Channel_Group"))
+    own = leads.filter(~from_affiliate(F.col("UTM"), F.col("Medium")))
+    return with_lead_class(own.withColumn("Date", to_day(F.col("Created"))))
 
 
 def count_leads(ql: DataFrame, ft: DataFrame) -> DataFrame:
