@@ -5,6 +5,12 @@ operator of the library and returns what comes out.
 """
 
 from tallyloom.plans.queries.base import ORACLE, QUERIES
-from tallyloom.plans.queries import frames, scalars, sources  # noqa: F401  (they fill the registry)
+from tallyloom.plans.queries import (  # noqa: F401  (they fill the registry)
+    frames,
+    reading,
+    scalars,
+    sources,
+    tables,
+)
 
 __all__ = ["ORACLE", "QUERIES"]
