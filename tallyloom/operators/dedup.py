@@ -36,25 +36,29 @@ def dedup_ads(
     order: Sequence[str],
     ctr_mode: str = "first",
     lead_agg: str = "first",
+    group_from_channel: bool = False,
 ) -> DataFrame:
     """One row per ad key (NULL key parts kept): metrics summed, the rest first known.
 
+    order     columns that put rows in file order; a single number is far cheaper than
+              several columns, as every aggregate then has a fixed width and is hashed
     ctr_mode  'first', or 'ratio' to recompute it from the summed metrics
     lead_agg  'first', or 'sum' so that several commission lines keep their counts
+    group_from_channel  True if the channel alone decides the channel group, as it does
+              in rows from the source readers: it may then stand among the keys
     """
     at = _ordering(order)
     leads = (lambda c: F.sum(c)) if lead_agg == "sum" else (lambda c: first_known(c, at))
-    out = ads.groupBy(*AD_KEY).agg(
+    keys = [*AD_KEY, "Channel_Group"] if group_from_channel else list(AD_KEY)
+    rest = [c for c in ("Channel_Group", "Date_Added", "Date_Modified") if c not in keys]
+    out = ads.groupBy(*keys).agg(
         sum0(F.col("Impressions")).alias("Impressions"),
         sum0(F.col("Clicks")).alias("Clicks"),
         sum0(F.col("Spend_AUD")).alias("Spend_AUD"),
         first_known(F.col("CTR"), at).alias("CTR"),
         leads(F.col("QL")).alias("QL"),
         leads(F.col("FT")).alias("FT"),
-        *[
-            first_known(F.col(c), at).alias(c)
-            for c in ("Channel_Group", "Date_Added", "Date_Modified")
-        ],
+        *[first_known(F.col(c), at).alias(c) for c in rest],
     )
     if ctr_mode == "ratio":
         out = out.withColumn("CTR", ratio_or_null(F.col("Clicks"), F.col("Impressions")))

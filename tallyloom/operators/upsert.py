@@ -108,6 +108,12 @@ def insert_rows(target: DataFrame, source: DataFrame) -> DataFrame:
     )
 
 
+def mark_updates(target: DataFrame, source: DataFrame, strict: bool = False) -> DataFrame:
+    """`update_rows` with column `_change`: 'updated' or 'kept'."""
+    change = F.when(F.col("_hit"), F.lit("updated")).otherwise(F.lit("kept"))
+    return update_rows(target, source, strict).withColumn("_change", change).drop("_hit")
+
+
 def merge(
     target: DataFrame, source: DataFrame, strict: bool = False, mark: bool = False
 ) -> DataFrame:
@@ -115,11 +121,8 @@ def merge(
 
     With `mark`, column `_change` tells 'updated', 'kept' or 'inserted'.
     """
-    updated = update_rows(target, source, strict).withColumn(
-        "_change", F.when(F.col("_hit"), F.lit("updated")).otherwise(F.lit("kept"))
-    )
     inserted = insert_rows(target, source).withColumn("_change", F.lit("inserted"))
-    out = updated.drop("_hit").unionByName(inserted)
+    out = mark_updates(target, source, strict).unionByName(inserted)
     return out if mark else out.drop("_change")
 
 

@@ -191,18 +191,33 @@ def parse_all(
 # The run ------------------------------------------------------------------------
 
 
+def place_number(sheet_no: Column, row_no: Column) -> Column:
+    """Sheet and row as one number: row numbers use the lower 55 bits."""
+    return F.shiftleft(F.coalesce(sheet_no, F.lit(0)).cast("bigint"), 55) + F.coalesce(
+        row_no, F.lit(0)
+    )
+
+
 def deduplicated(facts: DataFrame, run_date=None, **ad_options) -> DataFrame:
     """Stamped facts, one row per key, firsts taken in the order of the run.
 
+    An ad key names its channel and so its source; sheet and row are order enough.
     Lead-signature rows of ad exports come before the lead counts and are ranked by
     campaign, as the run's presentation order has them.
     """
     shaped = warehouse_shape(facts, run_date, extras=PLACE).withColumns(
-        {"_late": F.col("_rank") == CRM_RANK, "_unnamed": name("Campaign").isNull()}
+        {
+            "_place": place_number(F.col("_sheet_no"), F.col("_row_no")),
+            "_late": F.col("_rank") == CRM_RANK,
+            "_unnamed": name("Campaign").isNull(),
+        }
     )
-    place = [p for p in PLACE if p != "_source"]
     return dedup(
-        shaped, place, lead_order=["_late", "_unnamed", "Campaign", *place], **ad_options
+        shaped,
+        ["_place"],
+        lead_order=["_late", "_unnamed", "Campaign", "_rank", "_place"],
+        group_from_channel=True,
+        **ad_options,
     )
 
 

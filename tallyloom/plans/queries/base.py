@@ -55,10 +55,8 @@ def plain(feed: str) -> str:
 # Shared inputs: SQL that reads the same in both engines ---------------------------
 
 AD_RAW = """
-SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS Date,
- CASE s_nationkey % 12 WHEN 0 THEN 'VN' WHEN 1 THEN 'TH' WHEN 2 THEN 'SG' WHEN 3 THEN 'MY'
-  WHEN 4 THEN 'CN' WHEN 5 THEN 'HK' WHEN 6 THEN 'TW' WHEN 7 THEN 'ID' WHEN 8 THEN 'PH'
-  WHEN 9 THEN 'IN' WHEN 10 THEN 'MN' END AS Country,
+SELECT make_date(year(l_shipdate), month(l_shipdate), 1) AS Date,
+ nullif(split_part('VN,TH,SG,MY,CN,HK,TW,ID,PH,IN,MN,-', ',', s_nationkey % 12 + 1), '-') AS Country,
  CASE p_type WHEN 'ECONOMY' THEN 'HK Brand core' WHEN 'SMALL' THEN '[Pmax] Brand x'
   WHEN 'MEDIUM' THEN 'APAC_Vietnam_Retargeting' WHEN 'PROMO' THEN 'APAC_Thailand_LookAlike'
   WHEN 'STANDARD' THEN 'SG generic' ELSE 'Total' END AS Campaign,
@@ -73,14 +71,10 @@ FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey JOIN {part} ON l_partke
 
 LEAD_RAW = """
 SELECT event_id, ts AS Created,
- CASE user_id % 13 WHEN 0 THEN 'VN' WHEN 1 THEN 'TH' WHEN 2 THEN 'SG' WHEN 3 THEN 'MY'
-  WHEN 4 THEN 'CN' WHEN 5 THEN 'HK' WHEN 6 THEN 'TW' WHEN 7 THEN 'ID' WHEN 8 THEN 'PH'
-  WHEN 9 THEN 'IN' WHEN 10 THEN 'MN' WHEN 11 THEN 'AU' ELSE 'Total' END AS Country,
- CASE event_id % 14 WHEN 0 THEN '' WHEN 1 THEN ' - ' WHEN 2 THEN '123-45_6'
-  WHEN 3 THEN 'Affiliate-9' WHEN 4 THEN 'fb' WHEN 5 THEN 'Facebook_ads' WHEN 6 THEN 'google'
-  WHEN 7 THEN 'google-x' WHEN 8 THEN 'youtube-video' WHEN 9 THEN 'google-youtube'
-  WHEN 10 THEN 'SomeThing ' WHEN 11 THEN 'bing-search-brand' WHEN 12 THEN 'TA-Media-1' END AS UTM,
- CASE event_id % 5 WHEN 0 THEN 'IB' WHEN 1 THEN ' affiliates ' ELSE '' END AS Medium,
+ split_part('VN,TH,SG,MY,CN,HK,TW,ID,PH,IN,MN,AU,Total', ',', CAST(user_id % 13 AS INT) + 1) AS Country,
+ nullif(split_part(', - ,123-45_6,Affiliate-9,fb,Facebook_ads,google,google-x,youtube-video,google-youtube,SomeThing ,bing-search-brand,TA-Media-1,NULL',
+  ',', CAST(event_id % 14 AS INT) + 1), 'NULL') AS UTM,
+ split_part('IB, affiliates ,,,', ',', CAST(event_id % 5 AS INT) + 1) AS Medium,
  CASE event_type WHEN 'purchase' THEN 'Funded' WHEN 'click' THEN 'Active'
   WHEN 'signup' THEN 'Funded NT' ELSE 'Open' END AS Stage,
  CASE WHEN event_id % 3 = 0 THEN 'ft' ELSE 'ql' END AS feed
@@ -100,13 +94,9 @@ SELECT 'drop/f' || CAST(l_suppkey AS STRING) AS pth,
   WHEN 4 THEN CAST(month(l_shipdate) AS STRING) || '/' || CAST(day(l_shipdate) AS STRING)
          || '/' || CAST(year(l_shipdate) AS STRING)
   WHEN 5 THEN 'nan' WHEN 6 THEN 'Total' END AS mixed_day,
- CASE s_nationkey % 13 WHEN 0 THEN 'VN' WHEN 1 THEN 'TH' WHEN 2 THEN 'SG' WHEN 3 THEN 'MY'
-  WHEN 4 THEN 'CN' WHEN 5 THEN 'HK' WHEN 6 THEN 'TW' WHEN 7 THEN 'ID' WHEN 8 THEN 'PH'
-  WHEN 9 THEN 'IN' WHEN 10 THEN 'MN' WHEN 11 THEN 'AU' END AS cc,
- CASE s_nationkey % 6 WHEN 0 THEN ' vn ' WHEN 1 THEN 'Th' WHEN 2 THEN 'SG' WHEN 3 THEN 'cn '
-  WHEN 4 THEN 'NZ' END AS loose_cc,
- CASE s_nationkey % 7 WHEN 0 THEN 'Hong Kong' WHEN 1 THEN 'Taiwan' WHEN 2 THEN 'China mainland'
-  WHEN 3 THEN 'India' WHEN 4 THEN 'Japan' WHEN 5 THEN 'Malaysia' END AS land,
+ nullif(split_part('VN,TH,SG,MY,CN,HK,TW,ID,PH,IN,MN,AU,-', ',', s_nationkey % 13 + 1), '-') AS cc,
+ nullif(split_part(' vn ,Th,SG,cn ,NZ,-', ',', s_nationkey % 6 + 1), '-') AS loose_cc,
+ nullif(split_part('Hong Kong,Taiwan,China mainland,India,Japan,Malaysia,-', ',', s_nationkey % 7 + 1), '-') AS land,
  CASE p_type WHEN 'ECONOMY' THEN 'HK Brand core' WHEN 'SMALL' THEN 'SG [Pmax] Brand x'
   WHEN 'MEDIUM' THEN 'APAC_Vietnam_Retargeting' WHEN 'PROMO' THEN 'APAC_Laos_LookAlike x'
   WHEN 'STANDARD' THEN 'TW generic' ELSE CASE WHEN l_linenumber = 1 THEN NULL
@@ -127,9 +117,14 @@ FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey JOIN {part} ON l_partke
 
 
 def ad_facts(t: Tables) -> DataFrame:
-    """Every line item as an ad row, with its place as order columns."""
+    """Every line item as an ad row, with its place in order."""
     raw = t.sql(AD_RAW)
     campaign = F.col("Campaign")
+    # Order, line, part and supplier as one number, in that order of weight.
+    place = F.expr(
+        "CAST(l_orderkey * 8 + l_linenumber AS DECIMAL(18,0)) * 10000000000000000"
+        " + (shiftleft(l_partkey, 24) + l_suppkey)"
+    )
     channel = F.when(campaign.startswith("APAC_"), adroll_channel(campaign)).otherwise(
         bing_channel(campaign)
     )
@@ -148,11 +143,11 @@ def ad_facts(t: Tables) -> DataFrame:
         channel_group(channel).alias("Channel_Group"),
         F.lit(RUN_DATE).alias("Date_Added"),
         F.lit(RUN_DATE).alias("Date_Modified"),
-        *ORDER,
+        place.alias("place"),
     )
 
 
-ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+ORDER = ("place",)
 
 AD_FACTS = f"""
 SELECT Date, Country,

@@ -59,7 +59,7 @@ def lead_facts(t):
 
 def deduped(t):
     """Deduplicated ad facts: the shape batches have when they are merged."""
-    return U.dedup(ad_facts(t), ORDER)
+    return U.dedup(ad_facts(t), ORDER, group_from_channel=True)
 
 
 # The flagship -----------------------------------------------------------------------
@@ -86,10 +86,11 @@ def _(t):
             raw.withColumns({"Channel": channel, "Channel_Group": channel_group(channel)}),
             RUN_DATE,
         ),
-        ORDER,
+        ["l_orderkey"],
     )
     _, ads = P.split_rows(facts, is_lead(F.col("Impressions"), F.col("Spend_AUD")))
-    return rounded(N.channel_summary(U.dedup_ads(ads, ORDER)))
+    ads = U.dedup_ads(ads, ["l_orderkey"], group_from_channel=True)
+    return rounded(N.channel_summary(ads))
 
 
 # Projections ------------------------------------------------------------------------

@@ -26,6 +26,7 @@ from tallyloom.plans.queries.frames import DEDUPED, FACTS, SHIFTED, deduped, nex
 from tallyloom.plans.queries.sources import INSIGHTS_SQL, DAYS_SQL, RESPONSES, insights
 from tallyloom.schema import FACT_COLUMNS
 from tallyloom.sources.api import read_insights
+from tallyloom.sources.grids import land_grid, scan_grid
 from tallyloom.sources.storage import scratch
 from tallyloom.sources.tables import (
     ensure_table,
@@ -176,23 +177,28 @@ RUN_CELLS = {
 LEAD_CELLS = "Country, date_format(Created, 'd/M/yyyy H:mm'), UTM, Medium, Stage"
 
 
+def landed(t):
+    """That folder's grids, landed split by source and scanned back."""
+    folder = scratch(t.spark, "landing")
+    land_grid(drop(t), folder)
+    return scan_grid(t.spark, folder)
+
+
 def drop(t):
-    """The landed grids of that folder."""
+    """The grids of that folder."""
     lines = t.sql(EXPORT)
     events = t.sql(LEAD_RAW)
     place = lambda name: [
-        F.lit("landed").alias("source"),
+        F.lit(name).alias("source"),
         F.lit(f"/drop/{name}.xlsx").alias("path"),
         F.lit("Daily").alias("sheet"),
         F.lit(1).alias("sheet_no"),
     ]
     frames = []
     for name, cells in RUN_CELLS.items():
-        # Unique in the whole table: the supplier tells files of equal row numbers apart.
-        number = F.col("rn") * 1 + 10
         frames.append(
             lines.select(
-                *place(name), number.alias("row_no"), F.expr(f"array({cells})").alias("cells")
+                *place(name), F.col("rn").alias("row_no"), F.expr(f"array({cells})").alias("cells")
             )
         )
     for name in ("QL_010426", "FT_010426"):
@@ -238,7 +244,7 @@ SELECT Date, Country, Channel, Campaign, NULL, NULL, NULL, NULL, QL, FT FROM ({L
  FROM ({RUN_FACTS}) GROUP BY 1, 2, 3, 4""",
 )
 def _(t):
-    parsed = parse_all(drop(t), OPTIONS)
+    parsed = parse_all(landed(t), OPTIONS)
     assert ("Douyin", "unreadable date") in parsed.failed
     return parsed.facts.groupBy("Date", "Country", "Channel", "Campaign").agg(
         F.count(F.lit(1)).alias("n"),
@@ -283,7 +289,7 @@ def outline(facts):
 
 @query("run_deduplicated", RUN_DEDUPED)
 def _(t):
-    return outline(deduplicated(parse_all(drop(t), OPTIONS).facts, RUN_DATE))
+    return outline(deduplicated(parse_all(landed(t), OPTIONS).facts, RUN_DATE))
 
 
 @query("j02_file_drop_stream", RUN_DEDUPED)

@@ -13,14 +13,14 @@ from tallyloom import settings as S
 from tallyloom.schema import SourceError
 from tallyloom.sources.grids import MAX_LAYOUTS, unique_headers
 
-_UNIT = 1 << 12  # bytes; file splits are never smaller than this
+_UNIT = 1 << 20  # bytes; file splits are larger than this
 _HEADER_SEARCH = 16  # blank lines allowed between preamble and header
 
 
 def line_number() -> Column:
     """Number that grows with the line's place in its file.
 
-    The split's start (in 4 KiB units) comes first, then the line's place in the
+    The split's start (in MiB) comes first, then the line's place in the
     task that reads the split.  Needs no sort and no second pass; numbers have gaps.
     """
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))

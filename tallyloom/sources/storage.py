@@ -34,3 +34,9 @@ def exists(spark: SparkSession, path: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _path(spark, path)
     fs.delete(p, True)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Leave an empty folder as a sign."""
+    fs, p = _path(spark, path)
+    fs.mkdirs(p)

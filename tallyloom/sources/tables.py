@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.operators.upsert import change_counts, merge
+from tallyloom.operators.upsert import change_counts, insert_rows, mark_updates
 from tallyloom.schema import FACT_COLUMNS, FACT_SCHEMA, conform, empty_facts, warehouse_shape
-from tallyloom.sources.storage import exists, remove
+from tallyloom.sources.storage import exists, mark, remove
 
 TABLE_SCHEMA = T.StructType([*FACT_SCHEMA.fields, T.StructField("ym", T.StringType())])
+_MARKED = T.StructType([*TABLE_SCHEMA.fields, T.StructField("_change", T.StringType())])
 NO_MONTH = "undated"
 
 
@@ -20,7 +21,8 @@ def with_month(df: DataFrame) -> DataFrame:
 
 
 def write_months(df: DataFrame, path: str, mode: str = "dynamic") -> None:
-    """Write by month.  mode 'dynamic' replaces the months present, 'all' everything.
+    """Write by month.  mode 'dynamic' replaces the months present, 'all' everything,
+    'add' nothing.
 
     The rebalance hint lets the adaptive planner cut a month that holds much of the
     data into several files of the advisory size, and pack small months together.
@@ -28,7 +30,7 @@ def write_months(df: DataFrame, path: str, mode: str = "dynamic") -> None:
     (
         df.hint("rebalance", "ym")
         .sortWithinPartitions("ym", "Date", "Country", "Channel")
-        .write.mode("overwrite")
+        .write.mode("append" if mode == "add" else "overwrite")
         .option("partitionOverwriteMode", "dynamic" if mode == "dynamic" else "static")
         .partitionBy("ym")
         .parquet(path)
@@ -69,11 +71,11 @@ def _apply(spark: SparkSession, path: str, staged: str) -> None:
 
 def finish_pending(spark: SparkSession, path: str) -> bool:
     """Complete an upsert whose run ended between staging and the swap of its months."""
-    merged = _staging(path) + "/merged"
-    pending = exists(spark, merged + "/_SUCCESS")
+    staging = _staging(path)
+    pending = exists(spark, staging + "/ready")
     if pending:
-        _apply(spark, path, merged)
-    remove(spark, _staging(path))
+        _apply(spark, path, staging + "/merged")
+    remove(spark, staging)
     return pending
 
 
@@ -81,8 +83,9 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, strict: bool = Fals
     """Merge a deduplicated batch into the table; returns the counts of the change.
 
     The batch is staged once, so it is not computed again for each join, and its
-    months are the only ones read.  The merged months are staged too and then swap
-    the old ones: a run that dies on the way is completed by the next, or had no effect.
+    months are the only ones read, once.  The merged months are staged too and then
+    swap the old ones: a run that dies on the way is completed by the next, or had no
+    effect.
     """
     ensure_table(spark, path)
     finish_pending(spark, path)
@@ -96,11 +99,16 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, strict: bool = Fals
         remove(spark, staging)
         return {"updated": 0, "inserted": 0, "rows_before": 0, "rows_after": 0}
 
-    target = read_table(spark, path).filter(F.col("ym").isin(months))
-    marked = merge(target.select(*FACT_COLUMNS), staged.select(*FACT_COLUMNS), strict, mark=True)
-    write_months(with_month(marked), merged_path, mode="all")
+    source = staged.select(*FACT_COLUMNS)
+    target = read_table(spark, path).filter(F.col("ym").isin(months)).select(*FACT_COLUMNS)
+    write_months(with_month(mark_updates(target, source, strict)), merged_path, mode="all")
+    # What the batch hit is now on disk: the rest of the batch is new.
+    hits = spark.read.schema(_MARKED).parquet(merged_path).filter("_change = 'updated'")
+    added = insert_rows(hits, source).withColumn("_change", F.lit("inserted"))
+    write_months(with_month(added), merged_path, mode="add")
     # Counted from what was written: exact even if lost tasks ran twice.
-    counts = change_counts(spark.read.parquet(merged_path)).first().asDict()
+    counts = change_counts(spark.read.schema(_MARKED).parquet(merged_path)).first().asDict()
+    mark(spark, staging + "/ready")
     _apply(spark, path, merged_path)
     remove(spark, staging)
     return counts
