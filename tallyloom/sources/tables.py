@@ -11,7 +11,7 @@ from tallyloom.schema import FACT_COLUMNS, FACT_SCHEMA, conform, empty_facts, wa
 from tallyloom.sources.storage import exists, mark, remove
 
 TABLE_SCHEMA = T.StructType([*FACT_SCHEMA.fields, T.StructField("ym", T.StringType())])
-_MARKED = T.StructType([*TABLE_SCHEMA.fields, T.StructField("_change", T.StringType())])
+_MARKED = T.StructType([*FACT_SCHEMA.fields, T.StructField("_change", T.StringType())])
 NO_MONTH = "undated"
 
 
@@ -21,8 +21,7 @@ def with_month(df: DataFrame) -> DataFrame:
 
 
 def write_months(df: DataFrame, path: str, mode: str = "dynamic") -> None:
-    """Write by month.  mode 'dynamic' replaces the months present, 'all' everything,
-    'add' nothing.
+    """Write by month.  mode 'dynamic' replaces the months present, 'all' everything.
 
     The rebalance hint lets the adaptive planner cut a month that holds much of the
     data into several files of the advisory size, and pack small months together.
@@ -30,7 +29,7 @@ def write_months(df: DataFrame, path: str, mode: str = "dynamic") -> None:
     (
         df.hint("rebalance", "ym")
         .sortWithinPartitions("ym", "Date", "Country", "Channel")
-        .write.mode("append" if mode == "add" else "overwrite")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if mode == "dynamic" else "static")
         .partitionBy("ym")
         .parquet(path)
@@ -64,9 +63,8 @@ def _staging(path: str) -> str:
 
 
 def _apply(spark: SparkSession, path: str, staged: str) -> None:
-    spark.read.schema(TABLE_SCHEMA).parquet(staged).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("ym").parquet(path)
+    """Replace the months the staged rows belong to by those rows."""
+    write_months(with_month(spark.read.schema(FACT_SCHEMA).parquet(staged)), path)
 
 
 def finish_pending(spark: SparkSession, path: str) -> bool:
@@ -92,20 +90,19 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, strict: bool = Fals
     staging = _staging(path)
     batch_path, merged_path = staging + "/batch", staging + "/merged"
 
-    write_months(with_month(conform(batch)), batch_path, mode="all")
-    staged = read_table(spark, batch_path)
-    months = [r.ym for r in staged.select("ym").distinct().collect()]  # a month list
+    conform(batch).write.mode("overwrite").parquet(batch_path)
+    source = spark.read.schema(FACT_SCHEMA).parquet(batch_path)
+    months = [r.ym for r in with_month(source).select("ym").distinct().collect()]  # a month list
     if not months:
         remove(spark, staging)
         return {"updated": 0, "inserted": 0, "rows_before": 0, "rows_after": 0}
 
-    source = staged.select(*FACT_COLUMNS)
     target = read_table(spark, path).filter(F.col("ym").isin(months)).select(*FACT_COLUMNS)
-    write_months(with_month(mark_updates(target, source, strict)), merged_path, mode="all")
+    mark_updates(target, source, strict).write.mode("overwrite").parquet(merged_path)
     # What the batch hit is now on disk: the rest of the batch is new.
     hits = spark.read.schema(_MARKED).parquet(merged_path).filter("_change = 'updated'")
     added = insert_rows(hits, source).withColumn("_change", F.lit("inserted"))
-    write_months(with_month(added), merged_path, mode="add")
+    added.write.mode("append").parquet(merged_path)
     # Counted from what was written: exact even if lost tasks ran twice.
     counts = change_counts(spark.read.schema(_MARKED).parquet(merged_path)).first().asDict()
     mark(spark, staging + "/ready")
