@@ -28,27 +28,38 @@ def line_number() -> Column:
     return F.shiftleft(start, 33) + place
 
 
-def read_lines(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
-    lines = spark.read.option("encoding", encoding).text(list(paths))
-    return lines.select(
+def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Lines with file and number; their bytes are as in the file, valid text or not."""
+    return spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("_path"),
         line_number().alias("_row_no"),
         F.col("value"),
     )
 
 
+def from_windows_1252(text: Column) -> Column:
+    """Text whose bytes are Windows-1252: Latin-1 but for the characters at 0x80 to 0x9f."""
+    latin, windows = "", ""
+    for byte in range(0x80, 0xA0):
+        char = bytes([byte]).decode("cp1252", errors="ignore")
+        if char:
+            latin, windows = latin + chr(byte), windows + char
+    return F.translate(F.decode(text.cast("binary"), "ISO-8859-1"), latin, windows)
+
+
 def decoded_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Lines of files in UTF-8, or in Windows-1252 where a file is not valid UTF-8."""
-    utf8 = read_lines(spark, paths, "UTF-8")
-    # At most as many entries as the caller listed files.
-    bad = [
-        r["_path"]
-        for r in utf8.filter(F.col("value").contains("�")).select("_path").distinct().collect()
-    ]
+    lines = read_lines(spark, paths)
+    broken = lines.filter(~F.is_valid_utf8("value")).select("_path").distinct()
+    # At most one entry per file of one source.
+    bad = [r["_path"] for r in broken.collect()]
     if not bad:
-        return utf8
-    good = utf8.filter(~F.col("_path").isin(bad))
-    return good.unionByName(read_lines(spark, bad, "windows-1252"))
+        return lines
+    value = F.col("value")
+    return lines.withColumn(
+        "value",
+        F.when(F.col("_path").isin(bad), from_windows_1252(value)).otherwise(value),
+    )
 
 
 def _header_lines(lines: DataFrame, skip: int) -> DataFrame:
