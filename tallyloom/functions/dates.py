@@ -1,7 +1,8 @@
 """Date expressions.
 
 Each value is read on its own by its shape, so a column may mix layouts.  A shape
-test picks the one cast to make: no failed parse attempts, no exceptions per row.
+test picks the one cast to make: no failed parse attempts, no exceptions per row, and
+year-first text, by far the most common, costs a single test.
 """
 
 from __future__ import annotations
@@ -10,8 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _CLOCK = r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?"
+_YEAR_FIRST = rf"^\s*\d{{4}}[-./]\d{{1,2}}[-./]\d{{1,2}}{_CLOCK}\s*$"
 _ISO = rf"^\s*\d{{4}}-\d{{1,2}}-\d{{1,2}}{_CLOCK}\s*$"
-_YEAR_FIRST = rf"^\s*\d{{4}}[./]\d{{1,2}}[./]\d{{1,2}}{_CLOCK}\s*$"
 _YEAR_LAST = (
     r"^\s*(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})(?:,?\s+(\d{1,2}:\d{2}(?::\d{2})?))?\s*$"
 )
@@ -20,14 +21,9 @@ _BLANK = ("", "nan", "nat", "none")
 
 def date_lenient(c: Column) -> Column:
     """Text to DATE: year first, or month/day/year; NULL for anything else."""
-    return (
-        F.when(c.rlike(_ISO), F.trim(c).try_cast("date"))
-        .when(c.rlike(_YEAR_FIRST), F.translate(F.trim(c), "./", "--").try_cast("date"))
-        .when(
-            c.rlike(_YEAR_LAST),
-            F.regexp_replace(c, _YEAR_LAST, "$3-$1-$2").try_cast("date"),
-        )
-    )
+    return F.when(
+        c.rlike(_YEAR_FIRST), F.translate(F.trim(c), "./", "--").try_cast("date")
+    ).when(c.rlike(_YEAR_LAST), F.regexp_replace(c, _YEAR_LAST, "$3-$1-$2").try_cast("date"))
 
 
 def ts_dayfirst(c: Column) -> Column:
@@ -44,9 +40,7 @@ def to_day(c: Column) -> Column:
 
 def bad_date(c: Column, parsed: Column) -> Column:
     """True where a cell holds something that is not a date; an empty cell is no fault."""
-    return (
-        c.isNotNull() & parsed.isNull() & ~F.lower(F.trim(c)).isin(*_BLANK)
-    )
+    return parsed.isNull() & ~F.coalesce(F.lower(F.trim(c)), F.lit("")).isin(*_BLANK)
 
 
 def date_strict(c: Column) -> tuple[Column, Column]:

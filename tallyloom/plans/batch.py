@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,13 @@ class Parsed:
     files: dict[str, str] = field(default_factory=dict)
 
 
+class ChosenSheet(NamedTuple):
+    path: str
+    sheet: str
+    header_row: int | None
+    header: list[str | None] | None
+
+
 # Source health ------------------------------------------------------------------
 
 
@@ -77,27 +86,48 @@ def _by_path(files: Mapping[str, str], value) -> Column:
     return out
 
 
+# A header is looked for here first; only a sheet without one is searched to its end.
+TOP_ROWS = 1000
+
+
 def chosen_sheets(grid: DataFrame, files: Mapping[str, str], specs: Sequence[SourceSpec]):
-    """Sheets to read with their header rows: one pass over the chosen files.
+    """Sheets to read with their header rows, by path: {path: [(sheet, header_row, header)]}.
 
-    Comes to the driver, as plans are built from it: a few rows per workbook.
+    Comes to the driver, as plans are built from it: a few rows per workbook.  Names
+    are looked at first, then cells of the chosen sheets alone.
     """
     by_key = {s.key: s for s in specs}
     lead = SourceSpec(LEADS_LABEL, "ql", None, header=lead_header)
     spec = lambda key: by_key.get(key, lead)
     mine = grid.filter(F.col("path").isin(*files.values()))
-    sheets = G.locate_headers(mine, _by_path(files, lambda k: spec(k).header()))
     sheet = F.col("sheet")
     picked = G.choose_sheets(
-        sheets,
+        mine.select(*G.SHEET).distinct(),
         rule=_by_path(files, lambda k: spec(k).sheet(sheet)),
         fallback=_by_path(files, lambda k: spec(k).fallback(sheet)),
         many=_by_path(files, lambda k: F.lit(spec(k).many)),
-    )
-    found: dict[str, list] = {}
-    for row in picked.orderBy("path", "sheet_no").collect():
-        found.setdefault(row.path, []).append(row)
-    return found
+    ).collect()
+
+    def heads(sheets, rows: DataFrame) -> dict:
+        if not sheets:
+            return {}
+        here = reduce(
+            lambda a, b: a | b,
+            [(F.col("path") == s.path) & (F.col("sheet") == s.sheet) for s in sheets],
+        )
+        is_header = _by_path(files, lambda k: spec(k).header())
+        located = G.locate_headers(rows.filter(here), is_header).collect()
+        return {(r.path, r.sheet): r for r in located if r.header_row is not None}
+
+    found = heads(picked, mine.filter(F.col("row_no") < TOP_ROWS))
+    found |= heads([s for s in picked if (s.path, s.sheet) not in found], mine)
+    out: dict[str, list] = {}
+    for s in sorted(picked, key=lambda s: (s.path, s.sheet_no)):
+        head = found.get((s.path, s.sheet))
+        out.setdefault(s.path, []).append(
+            ChosenSheet(s.path, s.sheet, head and head.header_row, head and head.header)
+        )
+    return out
 
 
 def raw_tables(grid: DataFrame, sheets: Sequence) -> list[DataFrame]:

@@ -86,14 +86,9 @@ EXPORT = """
 SELECT 'drop/f' || CAST(l_suppkey AS STRING) AS pth,
  (l_orderkey * 8 + l_linenumber) * 1000000000 + l_partkey AS rn,
  CAST(CAST(l_shipdate AS DATE) AS STRING) AS iso,
- CASE l_linenumber
-  WHEN 1 THEN CAST(CAST(l_shipdate AS DATE) AS STRING)
-  WHEN 2 THEN CAST(CAST(l_shipdate AS DATE) AS STRING) || ' 00:00:00'
-  WHEN 3 THEN CAST(year(l_shipdate) AS STRING) || '.' || CAST(month(l_shipdate) AS STRING)
-         || '.' || CAST(day(l_shipdate) AS STRING)
-  WHEN 4 THEN CAST(month(l_shipdate) AS STRING) || '/' || CAST(day(l_shipdate) AS STRING)
-         || '/' || CAST(year(l_shipdate) AS STRING)
-  WHEN 5 THEN 'nan' WHEN 6 THEN 'Total' END AS mixed_day,
+ CASE WHEN l_linenumber <= 4 THEN replace(CAST(CAST(l_shipdate AS DATE) AS STRING), '-',
+   split_part('-|-|.|/', '|', l_linenumber))
+  WHEN l_linenumber <= 6 THEN split_part('nan|Total', '|', l_linenumber - 4) END AS mixed_day,
  nullif(split_part('VN,TH,SG,MY,CN,HK,TW,ID,PH,IN,MN,AU,-', ',', s_nationkey % 13 + 1), '-') AS cc,
  nullif(split_part(' vn ,Th,SG,cn ,NZ,-', ',', s_nationkey % 6 + 1), '-') AS loose_cc,
  nullif(split_part('Hong Kong,Taiwan,China mainland,India,Japan,Malaysia,-', ',', s_nationkey % 7 + 1), '-') AS land,
@@ -180,14 +175,8 @@ def sql_num(x: str) -> str:
 
 def sql_day(x: str) -> str:
     return (
-        f"CASE WHEN regexp_matches({x}, '^[0-9]{{4}}-[0-9]+-[0-9]+') "
-        f"THEN TRY_CAST(substr({x}, 1, 10) AS DATE) "
-        f"WHEN regexp_matches({x}, '^[0-9]{{4}}[.][0-9]+[.][0-9]+$') "
-        f"THEN make_date(CAST(split_part({x}, '.', 1) AS BIGINT), "
-        f"CAST(split_part({x}, '.', 2) AS BIGINT), CAST(split_part({x}, '.', 3) AS BIGINT)) "
-        f"WHEN regexp_matches({x}, '^[0-9]+/[0-9]+/[0-9]{{4}}$') "
-        f"THEN make_date(CAST(split_part({x}, '/', 3) AS BIGINT), "
-        f"CAST(split_part({x}, '/', 1) AS BIGINT), CAST(split_part({x}, '/', 2) AS BIGINT)) END"
+        f"CASE WHEN regexp_matches({x}, '^[0-9]{{4}}[-./][0-9]{{2}}[-./][0-9]{{2}}') "
+        f"THEN TRY_CAST(replace(replace(substr({x}, 1, 10), '.', '-'), '/', '-') AS DATE) END"
     )
 
 

@@ -14,7 +14,6 @@ from tallyloom.plans.queries.base import (
     LEAD_RAW,
     plain,
     query,
-    sql_day,
     sql_lead_class,
     sql_num,
     sql_utm,
@@ -276,27 +275,40 @@ def _(t):
     )
 
 
+# Ship dates in every layout a date column may have.
+LAYOUTS = """
+SELECT CAST(l_shipdate AS DATE) AS day, l_linenumber AS form, CASE l_linenumber
+ WHEN 1 THEN CAST(CAST(l_shipdate AS DATE) AS STRING)
+ WHEN 2 THEN CAST(CAST(l_shipdate AS DATE) AS STRING) || ' 00:00:00'
+ WHEN 3 THEN CAST(year(l_shipdate) AS STRING) || '.' || CAST(month(l_shipdate) AS STRING)
+        || '.' || CAST(day(l_shipdate) AS STRING)
+ WHEN 4 THEN CAST(month(l_shipdate) AS STRING) || '/' || CAST(day(l_shipdate) AS STRING)
+        || '/' || CAST(year(l_shipdate) AS STRING)
+ WHEN 5 THEN 'nan' WHEN 6 THEN 'Total' END AS txt
+FROM {lineitem}
+"""
+
+
 @query(
     "i19_date_strict",
-    f"""SELECT mixed_day, {sql_day('mixed_day')} AS day,
- CASE WHEN mixed_day = 'Total' THEN 'unreadable date' END AS fault, count(*) AS n
- FROM ({EXP}) GROUP BY 1, 2, 3""",
+    f"""SELECT txt, CASE WHEN form <= 4 THEN day END AS parsed,
+ CASE WHEN txt = 'Total' THEN 'unreadable date' END AS fault, count(*) AS n
+ FROM ({plain(LAYOUTS)}) GROUP BY 1, 2, 3""",
 )
 def _(t):
-    day, fault = D.date_strict(F.col("mixed_day"))
-    return tally(
-        t.sql(EXPORT).withColumns({"day": day, "fault": fault}), "mixed_day", "day", "fault"
-    )
+    parsed, fault = D.date_strict(F.col("txt"))
+    df = t.sql(LAYOUTS).withColumns({"parsed": parsed, "fault": fault})
+    return tally(df, "txt", "parsed", "fault")
 
 
 @query(
     "i20_date_lenient",
-    f"SELECT mixed_day, {sql_day('mixed_day')} AS day, count(*) AS n FROM ({EXP}) GROUP BY 1, 2",
+    f"""SELECT txt, CASE WHEN form <= 4 THEN day END AS parsed, count(*) AS n
+ FROM ({plain(LAYOUTS)}) GROUP BY 1, 2""",
 )
 def _(t):
-    return tally(
-        t.sql(EXPORT).withColumn("day", D.date_lenient(F.col("mixed_day"))), "mixed_day", "day"
-    )
+    df = t.sql(LAYOUTS).withColumn("parsed", D.date_lenient(F.col("txt")))
+    return tally(df, "txt", "parsed")
 
 
 DAYFIRST = """SELECT CASE l_linenumber % 3

@@ -476,10 +476,10 @@ source_query(
 
 
 def lead_export(t, feed):
-    """A CRM export under its own headers, dates written day first."""
+    """A CRM export under its own headers."""
     return t.sql(LEAD_RAW).filter(F.col("feed") == feed).select(
         F.concat("Country", F.lit(" ")).alias("Billing Country"),
-        F.date_format("Created", "d/M/yyyy H:mm").alias("Created Date"),
+        F.to_date("Created").cast("string").alias("Created Date"),
         F.col("UTM").alias("Google UTM Source"),
         F.col("Medium").alias("google utm medium"),
         F.col("Stage").alias("Stage"),
