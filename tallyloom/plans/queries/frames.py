@@ -365,9 +365,9 @@ def _(t):
 BLEND_SQL = f"""
 WITH a AS (SELECT Date, Country, sum(Impressions) AS Impressions, sum(Clicks) AS Clicks,
   CAST(sum(Spend_AUD) AS DOUBLE) AS Spend_AUD FROM (
-   SELECT CAST(ts AS DATE) AS Date, Country, value AS Impressions, value AS Clicks,
-    CAST(value AS DECIMAL(18,2)) AS Spend_AUD FROM events JOIN ({LEADS}) USING (event_id)
-   WHERE Country <> 'VN') GROUP BY 1, 2),
+   SELECT CAST(ts AS DATE) AS Date, replace(Country, 'VN', 'NZ') AS Country, value AS Impressions,
+    value AS Clicks, CAST(value AS DECIMAL(18,2)) AS Spend_AUD
+   FROM events JOIN ({LEADS}) USING (event_id)) GROUP BY 1, 2),
  l AS (SELECT Date, Country, sum(QL) AS QL, sum(FT) AS FT FROM ({LEAD_COUNTS}) GROUP BY 1, 2)
 SELECT coalesce(a.Date, l.Date) AS Date, coalesce(a.Country, l.Country) AS Country,
  round(Impressions, 2) AS Impressions, round(Clicks, 2) AS Clicks, round(Spend_AUD, 2) AS Spend_AUD,
@@ -380,14 +380,11 @@ FROM a FULL JOIN l ON a.Date = l.Date AND a.Country = l.Country
 def _(t):
     values = t.events.select("event_id", "value")
     country = t.sql(LEAD_RAW).select("event_id", "Created", "Country")
-    ads = (
-        values.join(country, "event_id")
-        .filter(F.col("Country") != "VN")
-        .select(
-            F.to_date("Created").alias("Date"),
-            "Country",
-            *[F.col("value").alias(c) for c in ("Impressions", "Clicks", "Spend_AUD")],
-        )
+    # Ads name one country otherwise than leads do, so each side has days of its own.
+    ads = values.join(country, "event_id").select(
+        F.to_date("Created").alias("Date"),
+        F.replace("Country", F.lit("VN"), F.lit("NZ")).alias("Country"),
+        *[F.col("value").alias(c) for c in ("Impressions", "Clicks", "Spend_AUD")],
     )
     out = N.blend(ads, L.count_leads(*lead_feeds(t)))
     return out.withColumns({c: F.round(c, 2) for c in ("Impressions", "Clicks", "Spend_AUD")})
