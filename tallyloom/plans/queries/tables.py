@@ -26,7 +26,7 @@ from tallyloom.plans.queries.frames import DEDUPED, FACTS, SHIFTED, deduped, nex
 from tallyloom.plans.queries.sources import INSIGHTS_SQL, DAYS_SQL, RESPONSES, insights
 from tallyloom.schema import FACT_COLUMNS
 from tallyloom.sources.api import read_insights
-from tallyloom.sources.grids import land_grid, scan_grid
+from tallyloom.sources.grids import GRID_SCHEMA, land_grid, scan_grid
 from tallyloom.sources.storage import scratch
 from tallyloom.sources.tables import (
     ensure_table,
@@ -37,7 +37,7 @@ from tallyloom.sources.tables import (
     with_month,
     write_months,
 )
-from tallyloom.streaming.intake import intake
+from tallyloom.streaming.intake import intake, watch
 
 EXP = plain(EXPORT)
 PER_MONTH = """SELECT strftime(Date, '%Y-%m') AS ym, count(*) AS n, sum(Clicks) AS clicks
@@ -300,3 +300,42 @@ def _(t):
     )
     stream.awaitTermination()
     return outline(read_facts(t.spark, f"{root}/table"))
+
+
+@query(
+    "a11_archive_inputs",
+    f"""SELECT kind, country, count(*) AS n, moved FROM (
+  SELECT 'lines' AS kind, cc AS country, true AS moved FROM ({EXP})
+  UNION ALL SELECT 'events', Country, false FROM ({plain(LEAD_RAW)})) GROUP BY 1, 2, 4""",
+)
+def _(t):
+    """Two drops read one after the other: reading the second moves the first away."""
+    root = scratch(t.spark, "archive")
+    drop, archive = f"{root}/drop", f"{root}/archive"
+    batches = {"lines": t.sql(EXPORT).withColumn("c", F.col("cc"))}
+    batches["events"] = t.sql(LEAD_RAW).withColumn("c", F.col("Country"))
+    for kind, rows in batches.items():
+        rows.select(
+            F.lit(kind).alias("source"),
+            F.lit(f"/{kind}.xlsx").alias("path"),
+            F.lit("s").alias("sheet"),
+            F.lit(1).alias("sheet_no"),
+            F.lit(0).cast("bigint").alias("row_no"),
+            F.array("c").alias("cells"),
+        ).write.mode("append").parquet(drop)
+        stream = (
+            watch(t.spark, drop, archive)
+            .writeStream.format("noop")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        stream.awaitTermination()
+    read = t.spark.read.schema(GRID_SCHEMA).option("recursiveFileLookup", True)
+    both = union_all(
+        read.parquet(folder).withColumn("moved", F.lit(folder == archive))
+        for folder in (archive, drop)
+    )
+    return both.groupBy(
+        F.col("source").alias("kind"), F.get("cells", F.lit(0)).alias("country"), "moved"
+    ).agg(F.count(F.lit(1)).alias("n"))
