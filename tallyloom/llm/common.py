@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -44,6 +46,14 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def kept_in_worker(name: str, make):
+    """make(), once for all tasks of a Python worker: memos of bounded size outlive a task."""
+    home = sys.modules.setdefault("tallyloom_worker", types.ModuleType("tallyloom_worker"))
+    if not hasattr(home, name):
+        setattr(home, name, make())
+    return getattr(home, name)
+
+
 class WordHashes(dict):
     """64-bit hashes of words (bytes), kept up to MEMO_ENTRIES."""
 

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm.common import WordHashes, batches, table, windows_hashed
+from tallyloom.llm.common import WordHashes, batches, kept_in_worker, table, windows_hashed
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -84,7 +84,7 @@ def quality_by_compression(
     def judge(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        packer, memo = zstandard.ZstdCompressor(level=level), WordHashes()
+        packer, memo = zstandard.ZstdCompressor(level=level), kept_in_worker("words", WordHashes)
 
         def one(text: str) -> tuple:
             data = text.encode()

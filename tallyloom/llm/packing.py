@@ -6,35 +6,36 @@ import zlib
 from array import array
 from collections.abc import Iterator
 
-import pyarrow as pa
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import batches, running_totals, table, written
+from tallyloom.llm.common import batches, kept_in_worker, running_totals, table, written
 from tallyloom.llm.pieces import PieceMemo, load
 
 # The word-end splitter's pattern and the id that closes a document.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 END_ID = 1
+IDS = "H"  # how ids are held: the vocabulary has less than 65,536; array() refuses larger ones
 BLOCK_DOCS = 2048  # about so many documents make a block of a queue's running total
 BLOCK_ROUNDS = 64  # so many rounds make a block of the stream's running total
 
 
 def token_ids(docs: DataFrame, path: str, source: str = "source") -> DataFrame:
-    """(doc_id, source, ids, doc_tokens): each text's ids as little-endian 32-bit numbers, END_ID last.
+    """(doc_id, source, ids, doc_tokens): each text's ids as little-endian 16-bit numbers, END_ID last.
 
     The tokenizer drops white space and never joins over it, so words are encoded by themselves.
     """
     out = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("ids", pa.binary()), ("doc_tokens", pa.int64())])
 
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(path)
-
-        def as_bytes(pieces: list[str]) -> list[bytes]:
-            return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        def make() -> PieceMemo:
+            tokenizer = load(path)
+            return PieceMemo(SPLIT, lambda pieces: [array(IDS, e.ids).tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)], b"".join, lower=True)
 
-        memo, end = PieceMemo(SPLIT, as_bytes, b"".join, lower=True), END_ID.to_bytes(4, "little")
+        memo, end = kept_in_worker(f"ids of {path}", make), array(IDS, [END_ID]).tobytes()
 
         def of(batch: pa.RecordBatch) -> list:
             ids = []
@@ -44,7 +45,7 @@ def token_ids(docs: DataFrame, path: str, source: str = "source") -> DataFrame:
                 cut = [[w.decode() for w in c] for c in cut]
                 memo.fill(set().union(*cut))
                 ids += [b"".join(map(memo.__getitem__, c)) + end for c in cut]
-            return [batch.column("doc_id"), batch.column("source"), ids, [len(x) // 4 for x in ids]]
+            return [batch.column("doc_id"), batch.column("source"), ids, [len(x) // 2 for x in ids]]
 
         return batches(rows, out, of)
 
@@ -111,6 +112,7 @@ def _cut(rows: DataFrame, size: int) -> DataFrame:
             found: list[list] = [[] for _ in out]
             for row in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "ids", "doc_tokens", "source", "row_id", "packets")), strict=True):
                 doc, ids, total, source, row_id, packets = row
+                ids = np.frombuffer(ids, np.uint16).astype("<u4").tobytes()
                 for packet in packets:
                     start, left, at = packet["start"], packet["length"], packet["at"]
                     while left:

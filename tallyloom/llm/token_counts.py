@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm.common import batches, table
+from tallyloom.llm.common import batches, kept_in_worker, table
 from tallyloom.llm.pieces import PieceMemo, load
 
 # The byte-level splitter's pattern.
@@ -61,7 +61,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, key: str = "doc_
     out = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(load(path))
+        counter = kept_in_worker(f"counts of {path}", lambda: Counter(load(path)))
 
         def of(batch: pa.RecordBatch) -> list:
             found, sizes = [], []
