@@ -127,7 +127,7 @@ def verified(pairs: DataFrame, rows: DataFrame, share: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, share: int = 85) -> DataFrame:
-    """(row_id, doc_id, n_shingles, component_id) per row of docs.
+    """(row_id, doc_id, n_shingles, component_id, component, h1, h2) per row of docs.
 
     Rows with the same set are one node.  Nodes next to each other in a sorted order are
     checked first; of the other candidates (up to NEIGHBOURS places away) only those that
@@ -150,10 +150,35 @@ def near_duplicates(docs: DataFrame, share: int = 85) -> DataFrame:
     groups = components(links)
     labelled = sets.join(groups, "node", "left").select("k1", "k2", "least_id", F.coalesce("component", "node").alias("component"))
     least = labelled.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    labelled = labelled.join(least, "component").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "component_id")
-    out = rows.select("row_id", "doc_id", "k1", "k2", "n_shingles").join(labelled, (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")) & (F.col("n_shingles") > 0), "left")
+    labelled = labelled.join(least, "component").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "component_id", "component")
+    out = rows.select("row_id", "doc_id", "k1", "k2", "n_shingles", *text_hashes(F.col("text"))).join(labelled, (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")) & (F.col("n_shingles") > 0), "left")
     own: Column = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("row_id", "doc_id", "n_shingles", own.alias("component_id"))
+    return out.select("row_id", "doc_id", "n_shingles", own.alias("component_id"), "component", "h1", "h2")
+
+
+def text_hashes(text: Column) -> list[Column]:
+    text = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2")]
+
+
+def one_of_each(docs: DataFrame, share: int = 80) -> DataFrame:
+    """The rows of docs, with their own columns, of which one of each group of near-duplicates stays.
+
+    It is the row with the smallest doc_id (null last), of these the one with the smallest text
+    hash; of rows that repeat id and text one stays, too.  Texts without words all stay.
+    """
+    rows = near_duplicates(docs, share)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")
+    best = rows.where("n_shingles > 0").groupBy("component").agg(F.min(place).alias("p")).select("p.doc_id", "p.h1", "p.h2")
+    blank = rows.where("n_shingles = 0").select("doc_id", "h1", "h2").distinct()
+    times = rows.where("n_shingles > 0").groupBy("doc_id", "h1", "h2").agg(F.count("*").alias("n")).where("n > 1")
+    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in ("doc_id", "h1", "h2")]
+    keys = best.alias("x").join(times.alias("y"), same, "left").select("x.doc_id", "x.h1", "x.h2", F.col("n").isNotNull().alias("again"))
+    keys = keys.union(blank.withColumn("again", F.lit(False))).select(F.col("doc_id").alias("_id"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.col("again").alias("_again"))
+    h1, h2 = text_hashes(docs["text"])
+    kept = docs.join(keys.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col("_id")) & (h1 == F.col("_h1")) & (h2 == F.col("_h2")))
+    again = kept.where("_again").dropDuplicates(["_id", "_h1", "_h2"])
+    return kept.where("NOT _again").union(again).select(*[docs[c] for c in docs.columns])
 
 
 def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
