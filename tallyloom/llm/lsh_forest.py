@@ -16,7 +16,7 @@ from tallyloom.llm.components import components
 WIDTH = 5  # words of a shingle
 TREES, DEPTH, LEAST_DEPTH = 20, 6, 4  # sorted orders; values of a label; of them equal at least
 REGION = 512  # larger regions go to full depth, then to blocks
-NEIGHBOURS = 16
+NEIGHBOURS = 8
 SEED = 12345
 
 
