@@ -42,7 +42,6 @@ def token_ids(docs: DataFrame, path: str, source: str = "source") -> DataFrame:
             for start in range(0, batch.num_rows, 256):
                 # bytes.split() parts at ASCII white space alone; any other is left to the tokenizer
                 cut = [(x or b"").split() for x in batch.column("text").slice(start, 256).cast(pa.binary()).to_pylist()]
-                cut = [[w.decode() for w in c] for c in cut]
                 memo.fill(set().union(*cut))
                 ids += [b"".join(map(memo.__getitem__, c)) + end for c in cut]
             return [batch.column("doc_id"), batch.column("source"), ids, [len(x) // 2 for x in ids]]

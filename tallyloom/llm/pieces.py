@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections.abc import Callable, Iterable
@@ -11,6 +12,7 @@ import regex
 BATCH_BYTES = 1 << 16
 WORDS_KEPT, PIECES_KEPT = 600_000, 500_000  # memory bounds; a full memo is emptied, results don't change
 UNSAFE = object()
+TAIL = ".,;:!?#*$%&"
 
 
 def load(path: str):
@@ -34,6 +36,10 @@ class PieceMemo(dict):
         self.encode, self.join, self.lead, self.lower, self.short = encode, join, lead, lower, {}
 
     def cut(self, word: str) -> list[str]:
+        core = word.rstrip(TAIL)
+        if core.isalpha() and (core.isascii() or max(core) <= "\xff"):  # most words: letters, then at most one run of marks
+            head = self.lead + (core.lower() if self.lower else core)
+            return [head] if len(core) == len(word) else [head, word[len(core) :]]
         word = self.lead + word
         if "<|" in word:
             return [word]
@@ -43,14 +49,22 @@ class PieceMemo(dict):
             return [word]
         return self.wide.findall(word.lower() if self.lower else word)
 
-    def fill(self, words: set[str], unsafe: Callable[[str], bool] | None = None) -> None:
+    def fill(self, words: set, unsafe: Callable[[str], bool] | None = None) -> None:
+        """Encode the words (str, or bytes in UTF-8) that are new."""
+        gc.disable()  # nothing here makes cycles, and passes over a large memo are slow
+        try:
+            self._fill(words, unsafe)
+        finally:
+            gc.enable()
+
+    def _fill(self, words: set, unsafe: Callable[[str], bool] | None) -> None:
         new = words.difference(self)
         if len(self) + len(new) > WORDS_KEPT:
             self.clear()
             new = words
         if len(self.short) > PIECES_KEPT:
             self.short.clear()
-        cut = {w: self.cut(w) for w in new if not (unsafe and unsafe(w))}
+        cut = {w: self.cut(w.decode() if isinstance(w, bytes) else w) for w in new if not (unsafe and unsafe(w))}
         batch, held = [], 0
         for p in {p for c in cut.values() for p in c}.difference(self.short):
             batch.append(p)
