@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.predicates import in_region
 from tallyloom.schema import LEAD_KEY, name
 
 
@@ -129,32 +128,22 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).dropna().distinct().orderBy(column)
 
 
-def flag_any(df: DataFrame, p: Column, by: str, out: str, listed: int = 1000) -> DataFrame:
+def flag_any(df: DataFrame, p: Column, by: str, out: str) -> DataFrame:
     """Add to every row whether `p` holds for any row of its group (a file, say).
 
-    The groups where it holds are looked up first.  A short list becomes a constant
-    test and the rows stay where they are; a longer one is joined.
+    One small row per group where it holds is joined back; adaptive execution measures it
+    and decides whether to broadcast it.
     """
-    hits = df.filter(p).select(by).dropna().distinct()
-    few = [r[0] for r in hits.limit(listed + 1).collect()]
-    if len(few) <= listed:
-        return df.withColumn(out, F.coalesce(F.col(by).isin(few), F.lit(False)))
-    marked = hits.withColumn(out, F.lit(True))
+    marked = df.filter(p).select(by).dropna().distinct().withColumn(out, F.lit(True))
     return df.join(marked, by, "left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 
 def seen_per_source(df: DataFrame, by: str = "_source") -> DataFrame:
-    """Row count and the region's countries met, per source.
+    """Row count and all countries met, per source.
 
-    The list is taken over the region's fixed codes, so it cannot grow with the data.
+    Rows are counted per source and country first, so a large source is no hot group.
     """
-    return df.groupBy(by).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sort_array(
-            F.collect_set(F.when(in_region("Country"), F.col("Country")))
-        ).alias("countries"),
+    counts = df.groupBy(by, "Country").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.groupBy(by).agg(
+        F.sum("_n").alias("rows"), F.sort_array(F.collect_list("Country")).alias("countries")
     )
-
-
-def row_count(df: DataFrame, out: str = "rows") -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias(out))

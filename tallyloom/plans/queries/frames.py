@@ -504,11 +504,14 @@ def _(t):
 @query(
     "e10_seen_per_source",
     f"""SELECT Channel AS "_source", count(*) AS "rows",
- list_sort(list(DISTINCT Country) FILTER (WHERE Country IS NOT NULL)) AS countries
- FROM ({AD_FACTS}) GROUP BY 1""",
+ list_sort(list(DISTINCT land) FILTER (WHERE land IS NOT NULL)) AS countries
+ FROM (SELECT *, CASE WHEN length(Channel) % 2 = 0 THEN 'far ' || Country ELSE Country END AS land
+  FROM ({AD_FACTS})) GROUP BY 1""",
 )
 def _(t):
-    return N.seen_per_source(ad_facts(t).withColumn("_source", F.col("Channel")))
+    far = F.when(F.length("Channel") % 2 == 0, F.concat(F.lit("far "), F.col("Country")))
+    df = ad_facts(t).withColumn("_source", F.col("Channel"))
+    return N.seen_per_source(df.withColumn("Country", F.coalesce(far, F.col("Country"))))
 
 
 # Windows ----------------------------------------------------------------------------

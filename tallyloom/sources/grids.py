@@ -27,7 +27,6 @@ GRID_SCHEMA = T.StructType(
     ]
 )
 MAX_LAYOUTS = 200  # different header rows one source may have
-MAX_BROADCAST_FILES = 100_000  # header rows that may be broadcast
 
 SHEET = ("path", "sheet", "sheet_no")
 
@@ -192,7 +191,7 @@ def tables_below(grid: DataFrame, heads: DataFrame) -> DataFrame:
     """Raw table of all the sheets in `heads` (from `locate_headers`), columns by name.
 
     The driver sees the different header rows and their number of sheets, nothing
-    else.  The sheet list is broadcast if that number is small enough.
+    else.  Whether the sheet list is broadcast is left to adaptive execution.
     """
     heads = heads.filter(F.col("header_row").isNotNull()).persist()
     layouts = (
@@ -202,12 +201,11 @@ def tables_below(grid: DataFrame, heads: DataFrame) -> DataFrame:
         raise SourceError("no header row")
     if len(layouts) > MAX_LAYOUTS:
         raise SourceError("too many different layouts for one source")
-    small = sum(r.n for r in layouts) <= MAX_BROADCAST_FILES
     out = None
     for layout in layouts:
         same = F.array(*[F.lit(c).cast("string") for c in layout.header])
         mine = heads.filter(F.col("header") == same).select(*SHEET, "header_row")
-        rows = grid.join(F.broadcast(mine) if small else mine, list(SHEET)).filter(
+        rows = grid.join(mine, list(SHEET)).filter(
             F.col("row_no") > F.col("header_row")
         )
         frame = named_cells(rows, layout.header)

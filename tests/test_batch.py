@@ -171,3 +171,17 @@ def test_api_combine(spark):
     assert combine(responses, None).count() == 1
     line = profile(both).first()
     assert (line.total_rows, line.countries, line.campaigns, line.total_spend_aud) == (2, 2, 2, 3.5)
+
+
+def test_combine_without_responses_gives_no_rows(spark):
+    from tallyloom.plans.api_combine import combine
+
+    facts = combine(None, None)
+    assert facts.count() == 0 and "Country" in facts.columns
+
+
+def test_seen_per_source_lists_countries_outside_the_region(spark):
+    from tallyloom.operators.counts import seen_per_source
+
+    df = spark.createDataFrame([("a", "AU"), ("a", "Peru"), ("a", None), ("b", None)], "_source string, Country string")
+    assert {r[0]: (r[1], r[2]) for r in seen_per_source(df).collect()} == {"a": (3, ["AU", "Peru"]), "b": (1, [])}
