@@ -86,10 +86,6 @@ def _by_path(files: Mapping[str, str], value) -> Column:
     return out
 
 
-# A header is looked for here first; only a sheet without one is searched to its end.
-TOP_ROWS = 1000
-
-
 def chosen_sheets(grid: DataFrame, files: Mapping[str, str], specs: Sequence[SourceSpec]):
     """Sheets to read with their header rows, by path: {path: [(sheet, header_row, header)]}.
 
@@ -119,8 +115,7 @@ def chosen_sheets(grid: DataFrame, files: Mapping[str, str], specs: Sequence[Sou
         located = G.locate_headers(rows.filter(here), is_header).collect()
         return {(r.path, r.sheet): r for r in located if r.header_row is not None}
 
-    found = heads(picked, mine.filter(F.col("row_no") < TOP_ROWS))
-    found |= heads([s for s in picked if (s.path, s.sheet) not in found], mine)
+    found = heads(picked, mine)
     out: dict[str, list] = {}
     for s in sorted(picked, key=lambda s: (s.path, s.sheet_no)):
         head = found.get((s.path, s.sheet))

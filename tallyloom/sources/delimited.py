@@ -4,17 +4,14 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom import settings as S
-from tallyloom.schema import SourceError
-from tallyloom.sources.grids import MAX_LAYOUTS, unique_headers
+from tallyloom.sources.grids import by_name, unique_headers, with_names
 
 _UNIT = 1 << 20  # bytes; file splits are larger than this
-_HEADER_SEARCH = 16  # blank lines allowed between preamble and header
 
 
 def line_number() -> Column:
@@ -51,26 +48,21 @@ def decoded_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Lines of files in UTF-8, or in Windows-1252 where a file is not valid UTF-8."""
     lines = read_lines(spark, paths)
     broken = lines.filter(~F.is_valid_utf8("value")).select("_path").distinct()
-    # At most one entry per file of one source.
-    bad = [r["_path"] for r in broken.collect()]
-    if not bad:
-        return lines
+    joined = lines.join(broken.withColumn("_broken", F.lit(True)), "_path", "left")
     value = F.col("value")
-    return lines.withColumn(
-        "value",
-        F.when(F.col("_path").isin(bad), from_windows_1252(value)).otherwise(value),
-    )
+    text = F.when(F.col("_broken"), from_windows_1252(value)).otherwise(value)
+    return joined.select("_path", "_row_no", text.alias("value"))
 
 
 def _header_lines(lines: DataFrame, skip: int) -> DataFrame:
     """(path, header_row, header) of each file: its first filled line after the preamble.
 
-    Only the top of each file is ranked; the rank limit is applied before the shuffle.
+    Two aggregates and no sort; any number of blank lines may stand before the header.
+    The preamble lies in the file's first split, whose lines are numbered without gaps.
     """
-    rank = F.row_number().over(W.partitionBy("_path").orderBy("_row_no"))
-    top = lines.withColumn("_rank", rank).filter(F.col("_rank") <= skip + _HEADER_SEARCH)
-    filled = top.filter((F.col("_rank") > skip) & (F.trim("value") != ""))
-    return filled.groupBy("_path").agg(
+    first = lines.groupBy("_path").agg(F.min("_row_no").alias("_first"))
+    filled = lines.filter(F.trim("value") != "").join(first, "_path")
+    return filled.filter(F.col("_row_no") >= F.col("_first") + skip).groupBy("_path").agg(
         F.min("_row_no").alias("header_row"),
         F.min_by("value", "_row_no").alias("header"),
     )
@@ -82,31 +74,25 @@ def scan_delimited(
     skip: int = S.PREAMBLE_ROWS,
     sep: str = ",",
 ) -> DataFrame:
-    """Raw text table of one or more files of the same layout or of a few layouts."""
+    """Raw text table of files of any number of layouts, columns by name; lines are parsed once."""
     lines = decoded_lines(spark, paths)
+    names_of = lambda header: unique_headers(next(csv.reader([header], delimiter=sep)))
     heads = _header_lines(lines, skip).persist()
-    layouts = [r.header for r in heads.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
-    if not layouts:
-        raise SourceError("no header row")
-    if len(layouts) > MAX_LAYOUTS:
-        raise SourceError("too many different layouts for one source")
-    body = lines.join(heads, "_path").filter(
+    try:
+        named, labels = with_names(heads, names_of)
+        widest = named.agg(F.max(F.size("_names"))).first()[0]
+    finally:
+        heads.unpersist()
+    body = lines.join(named, "_path").filter(
         (F.col("_row_no") > F.col("header_row")) & (F.trim("value") != "")
     )
-    frames = []
-    for header in layouts:
-        names = unique_headers(next(csv.reader([header], delimiter=sep)))
-        schema = ", ".join(f"c{i} STRING" for i in range(len(names)))
-        parsed = body.filter(F.col("header") == header).select(
-            F.from_csv("value", schema, {"sep": sep}).alias("_r"), "_path", "_row_no"
-        )
-        frames.append(
-            parsed.select(
-                *[F.col(f"_r.c{i}").alias(n) for i, n in enumerate(names)],
-                "_path",
-                F.lit("").alias("_sheet"),
-                F.lit(1).alias("_sheet_no"),
-                "_row_no",
-            )
-        )
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    schema = ", ".join(f"c{i} STRING" for i in range(widest))
+    parsed = body.select(F.from_csv("value", schema, {"sep": sep}).alias("_r"), "_path", "_row_no", "_names")
+    cells = F.array(*[F.col(f"_r.c{i}") for i in range(widest)])
+    return parsed.select(
+        *[by_name(cells, n).alias(n) for n in labels],
+        "_path",
+        F.lit("").alias("_sheet"),
+        F.lit(1).alias("_sheet_no"),
+        "_row_no",
+    )

@@ -26,8 +26,6 @@ GRID_SCHEMA = T.StructType(
         T.StructField("cells", T.ArrayType(T.StringType())),
     ]
 )
-MAX_LAYOUTS = 200  # different header rows one source may have
-
 SHEET = ("path", "sheet", "sheet_no")
 
 
@@ -187,27 +185,44 @@ def table_below(grid: DataFrame, path: str, sheet: str, header_row: int, header)
     return named_cells(body, header)
 
 
+def with_names(heads: DataFrame, names_of: Callable) -> tuple[DataFrame, list[str]]:
+    """Heads with the column names of their header, and all the names there are.
+
+    The driver sees the different header rows, nothing else; how many there are does not
+    change the plan.
+    """
+    layouts = [(r.header, names_of(r.header)) for r in heads.select("header").distinct().collect()]
+    if not layouts:
+        raise SourceError("no header row")
+    kind = heads.schema["header"].dataType.simpleString()
+    known = heads.sparkSession.createDataFrame(layouts, f"_header {kind}, _names array<string>")
+    named = heads.join(known, F.col("header") == F.col("_header")).drop("header", "_header")
+    seen: dict[str, str] = {}
+    for _, names in sorted(layouts, key=lambda x: x[1]):
+        for n in names:
+            seen.setdefault(n.lower(), n)
+    return named, list(seen.values())
+
+
+def by_name(cells: Column, label: str) -> Column:
+    """The cell below the header `label` (case ignored), NULL in a layout without it."""
+    low = F.transform("_names", lambda x: F.lower(x))
+    at = F.array_position(low, label.lower())
+    return F.get(cells, (at - 1).cast("int"))
+
+
 def tables_below(grid: DataFrame, heads: DataFrame) -> DataFrame:
     """Raw table of all the sheets in `heads` (from `locate_headers`), columns by name.
 
-    The driver sees the different header rows and their number of sheets, nothing
-    else.  Whether the sheet list is broadcast is left to adaptive execution.
+    The sheets are read once, whatever the number of layouts.  Whether the sheet list is
+    broadcast is left to adaptive execution.
     """
-    heads = heads.filter(F.col("header_row").isNotNull()).persist()
-    layouts = (
-        heads.groupBy("header").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LAYOUTS + 1).collect()
+    named, labels = with_names(heads.filter(F.col("header_row").isNotNull()), unique_headers)
+    rows = grid.join(named.select(*SHEET, "header_row", "_names"), list(SHEET))
+    return rows.filter(F.col("row_no") > F.col("header_row")).select(
+        *[by_name(F.col("cells"), n).alias(n) for n in labels],
+        F.col("path").alias("_path"),
+        F.col("sheet").alias("_sheet"),
+        F.col("sheet_no").alias("_sheet_no"),
+        F.col("row_no").alias("_row_no"),
     )
-    if not layouts:
-        raise SourceError("no header row")
-    if len(layouts) > MAX_LAYOUTS:
-        raise SourceError("too many different layouts for one source")
-    out = None
-    for layout in layouts:
-        same = F.array(*[F.lit(c).cast("string") for c in layout.header])
-        mine = heads.filter(F.col("header") == same).select(*SHEET, "header_row")
-        rows = grid.join(mine, list(SHEET)).filter(
-            F.col("row_no") > F.col("header_row")
-        )
-        frame = named_cells(rows, layout.header)
-        out = frame if out is None else out.unionByName(frame, allowMissingColumns=True)
-    return out

@@ -1,29 +1,128 @@
 """Exports dropped into a folder, read as a stream and merged into the table.
 
-The stream's checkpoint remembers which files were read; a replayed micro-batch
-changes nothing, because the upsert only rewrites the rows it already wrote.
+A micro-batch's rows first go to a waiting folder beside the checkpoint.  All files that
+wait are then merged, the older ones of a source first, so that newer rows win.  A file
+stops waiting when its source has succeeded; a failed one, or a lead file without its
+partner, is tried again with each later micro-batch.  A replayed micro-batch changes
+nothing: its rows replace themselves and the upsert only rewrites what it already wrote.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom.plans.batch import run
 from tallyloom.settings import RunOptions
+from tallyloom.sources.files import base_name, name_day, sources_of
 from tallyloom.sources.grids import GRID_SCHEMA
+from tallyloom.sources.registry import LEADS_LABEL, SOURCES
+
+LEAD_KEYS = ("ql", "ft")
+LABELS = {s.key: s.label for s in SOURCES} | dict.fromkeys(LEAD_KEYS, LEADS_LABEL)
+_WAITING = T.StructType([*GRID_SCHEMA.fields, T.StructField("batch", T.LongType())])
+_DONE = "path string, source string, batch long"
+
+
+class Waiting(NamedTuple):
+    day: int
+    path: str
+    source: str
+    batch: int
 
 
 def watch(
     spark: SparkSession, drop: str, archive: str | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """Streaming grid of a drop folder; files read are moved to `archive`."""
+    """Streaming grid of a drop folder; landed parts that were read are moved to `archive`."""
     reader = spark.readStream.format(fmt).schema(GRID_SCHEMA)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.load(drop)
 
 
+def rounds(files: list[Waiting]) -> list[list[Waiting]]:
+    """What to merge one after the other: the n-th oldest file of each source in the n-th round.
+
+    Leads go in pairs, of the same day where there is one and else the newest with the
+    newest.  One lead file that still has no partner goes along, so that it is reported.
+    """
+    by_source: dict[str, list[Waiting]] = defaultdict(list)
+    for f in sorted(files):
+        by_source[f.source].append(f)
+    ql, ft = (by_source.pop(k, []) for k in LEAD_KEYS)
+    pairs = []
+    for f in list(ql):
+        partner = next((g for g in ft if g.day == f.day), None)
+        if partner:
+            pairs.append([f, partner])
+            ql.remove(f)
+            ft.remove(partner)
+    if ql and ft:
+        pairs.append([ql.pop(), ft.pop()])
+    pairs.sort(key=lambda pair: max(f.day for f in pair))
+    groups = [[[f] for f in own] for own in by_source.values()] + [pairs]
+    out = [[f for g in groups if i < len(g) for f in g[i]] for i in range(max(map(len, groups)))]
+    alone = (ql + ft)[-1:]
+    if alone and not pairs:
+        out = [[*out[0], *alone], *out[1:]] if out else [alone]
+    return out
+
+
+def _done(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that have left the waiting folder; the stream starts it with an empty part."""
+    return spark.read.schema(_DONE).parquet(f"{folder}/done")
+
+
+def _mark(spark: SparkSession, folder: str, files: list[Waiting]) -> None:
+    rows = [(f.path, f.source, f.batch) for f in files]
+    spark.createDataFrame(rows, _DONE).coalesce(1).write.mode("append").parquet(f"{folder}/done")
+
+
+def waiting_files(rows: DataFrame, done: DataFrame) -> list[Waiting]:
+    """Files not yet merged, per source; a file dropped again counts by its last drop only."""
+    file_name = base_name(F.col("path"))
+    last = rows.groupBy("path").agg(F.max("batch").alias("batch")).select(
+        "path", "batch", name_day(file_name).alias("day"), F.explode(sources_of(file_name)).alias("source")
+    )
+    left = last.join(done, ["path", "source", "batch"], "left_anti")
+    return [Waiting(r.day or 0, r.path, r.source, r.batch) for r in left.collect()]
+
+
+def merge_waiting(
+    spark: SparkSession, folder: str, table: str, options: RunOptions | None = None
+) -> dict:
+    """Merge all that waits; one report, counts summed over its rounds."""
+    rows = spark.read.schema(_WAITING).parquet(f"{folder}/rows")
+    total: dict = {"failed": [], "files": {}}
+    absent: dict[str, str] = {}
+    tried = set()
+    for files in rounds(waiting_files(rows, _done(spark, folder))):
+        mine = reduce(
+            lambda a, b: a | b,
+            [(F.col("batch") == f.batch) & (F.col("path") == f.path) for f in files],
+        )
+        report = run(spark, table, rows.filter(mine).drop("batch"), options)
+        here = {LABELS[f.source] for f in files}
+        failed = dict(report["failed"])
+        _mark(spark, folder, [f for f in files if LABELS[f.source] not in failed])
+        tried |= here
+        absent |= {k: v for k, v in failed.items() if k not in here}
+        total["failed"] += [(k, v) for k, v in report["failed"] if k in here]
+        total["files"].update({f.source: f.path for f in files})
+        for k, v in report.items():
+            if k not in ("failed", "files"):
+                total[k] = total.get(k, 0) + (v or 0)
+    total["failed"] += [(k, v) for k, v in absent.items() if k not in tried]
+    return total
+
+
 def intake(
     spark: SparkSession,
     drop: str,
@@ -35,9 +134,14 @@ def intake(
     on_report=None,
 ) -> StreamingQuery:
     """Start merging everything that waits in the folder; stops when it is done."""
+    folder = f"{checkpoint.rstrip('/')}_waiting"
 
     def merge_batch(grid: DataFrame, batch_id: int) -> None:
-        report = run(grid.sparkSession, table, grid, options)
+        own = grid.sparkSession
+        grid.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
+        if batch_id == 0:
+            _mark(own, folder, [])
+        report = merge_waiting(own, folder, table, options)
         if on_report:
             on_report(batch_id, report)
 

@@ -27,6 +27,14 @@ def test_layouts_may_differ(spark, tmp_path):
     assert rows(scan_delimited(spark, [str(tmp_path)]), "x", "y") == [("1", "2"), ("3", "4")]
 
 
+def test_any_number_of_blank_lines_and_layouts(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(TOP + "k,v0\n0,0\n")
+    for i in range(1, 205):
+        (tmp_path / f"{i}.csv").write_text(TOP + "\n" * (i % 40) + f"v{i},K\n{i},{i}\n")
+    got = scan_delimited(spark, [str(tmp_path)])
+    assert got.selectExpr("count(*)", "sum(cast(k as int))", "max(v204)").first() == (205, 20910, "204")
+
+
 def test_no_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text(TOP)
     with pytest.raises(SourceError, match="no header row"):
