@@ -1,4 +1,4 @@
-"""MinHash near-duplicates by an LSH forest: neighbours in several sorted orders of signature labels."""
+"""MinHash near-duplicates: an LSH forest links most of each group, an exact prefix join finds what it missed."""
 
 from __future__ import annotations
 
@@ -16,7 +16,8 @@ from tallyloom.llm.components import components
 WIDTH = 5  # words of a shingle
 TREES, DEPTH, LEAST_DEPTH = 20, 6, 4  # sorted orders; values of a label; of them equal at least
 REGION = 512  # larger regions go to full depth, then to blocks
-NEIGHBOURS = 8
+CLASSES = 1 << 20  # of the table of shingle counts: its size is fixed
+COUNTED = 8  # one node in so many is counted for it
 SEED = 12345
 
 
@@ -78,7 +79,7 @@ def regions(nodes: DataFrame) -> DataFrame:
     large = rows.where(F.col("n") > REGION)
     deep = large.groupBy("tree", F.col("label").alias("_label")).agg(F.count("*").alias("size"), F.min("node").alias("pivot"))
     large = large.join(deep.withColumnRenamed("tree", "_tree"), (F.col("tree") == F.col("_tree")) & (F.col("label") == F.col("_label")))
-    block = F.pmod(F.xxhash64("node"), F.floor(F.col("size") / REGION).cast("long") + 1).cast("int")
+    block = F.pmod(F.xxhash64("tree", "node"), F.floor(F.col("size") / REGION).cast("long") + 1).cast("int")
     large = large.select("tree", F.col("label").alias("shared"), block.alias("block"), "label", "node", "pivot")
     # in a large region's order, nodes with equal deeper beginnings stand together; its own pivot ties its parts
     tops = rows.where(F.col("n") > REGION).groupBy("tree", "short").agg(F.min("node").alias("pivot"))
@@ -87,13 +88,95 @@ def regions(nodes: DataFrame) -> DataFrame:
 
 
 def candidate_pairs(found: DataFrame) -> DataFrame:
-    """(a, b, rank): nodes that stand near each other in a region's order; rank 0 for the next one."""
-    line = Window.partitionBy("tree", "shared", "block").orderBy("label", "node").rowsBetween(1, NEIGHBOURS)
-    near = found.select(F.col("node").alias("a"), F.collect_list("node").over(line).alias("near")).select("a", F.posexplode("near").alias("rank", "b"))
-    tied = found.where("pivot IS NOT NULL").select(F.col("node").alias("a"), F.lit(0).alias("rank"), F.col("pivot").alias("b"))
-    pairs = near.union(tied).where("a <> b")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "rank")
-    return pairs.groupBy("a", "b").agg(F.min("rank").alias("rank"))
+    """(a, b): nodes that stand next to each other in a region's order, or one and its region's pivot.
+
+    Nodes with equal labels stand in an order of their own in each tree."""
+    line = Window.partitionBy("tree", "shared", "block").orderBy("label", F.xxhash64("tree", "node"), "node")
+    near = found.select(F.col("node").alias("a"), F.lead("node").over(line).alias("b"))
+    tied = found.where("pivot IS NOT NULL").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    return near.union(tied).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def class_counts(nodes: DataFrame) -> np.ndarray:
+    """How often the shingles of each class are met, in one node of COUNTED.
+
+    It only orders the shingles: any one order serves, a good one keeps common shingles out of the prefixes."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, total = kept_in_worker("words", WordHashes), np.zeros(CLASSES, np.int64)
+        for batch in batches:
+            for x in texts(batch):
+                np.add.at(total, _classes(shingles(x, memo)), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["class", "n"])
+
+    some = nodes.where(F.pmod(F.xxhash64("node"), F.lit(COUNTED)) == 0).select("text")
+    found = some.mapInArrow(count, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).where("n > 1").toArrow()
+    out = np.zeros(CLASSES, np.uint64)
+    out[found.column("class").to_numpy()] = np.minimum(found.column("n").to_numpy(), 0xFFFF)
+    return out
+
+
+def _classes(found: np.ndarray) -> np.ndarray:
+    return (found & np.uint64(CLASSES - 1)).astype(np.int64)
+
+
+def prefixes(nodes: DataFrame, share: int) -> DataFrame:
+    """(key, node, n, at): the rarest shingles of each node, of which similar nodes share one, if another node has it; written.
+
+    Sets of n and m shingles with 100 * intersection >= share * union have at least
+    share * n / 100 in common, so they share one of the first n - that + 1 in any one order."""
+    counts = nodes.sparkSession.sparkContext.broadcast(class_counts(nodes))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, rank = kept_in_worker("words", WordHashes), counts.value
+        for batch in batches:
+            keys, sizes = [], []
+            for x in texts(batch):
+                found = shingles(x, memo)
+                codes = np.sort(rank[_classes(found)] << np.uint64(48) | found >> np.uint64(16))
+                keys.append(codes[: len(codes) + (-share * len(codes)) // 100 + 1])
+                sizes.append(len(codes))
+            lengths = [len(k) for k in keys]
+            at = [np.arange(n, dtype=np.int32) for n in lengths]
+            columns = [np.concatenate(keys).view(np.int64), np.repeat(batch.column("node").to_numpy(), lengths), np.repeat(np.array(sizes, np.int32), lengths), np.concatenate(at)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "node", "n", "at"])
+
+    rows = written(nodes.select("node", "text").mapInArrow(cut, "key long, node long, n int, at int"), "prefixes")
+    several = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
+    return written(rows.join(several.hint("shuffle_hash"), "key", "left_semi"), "shared-prefixes")
+
+
+def _grouped(shared: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of shared, with their component, whose key is held by several components."""
+    held = shared.join(groups.select("node", F.col("component").alias("_c")), "node", "left").select("key", "node", "n", "at", F.coalesce("_c", "node").alias("c"))
+    open_ = held.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("at", "node", "n", "c")).alias("hub")).where("low < high").select("key", "hub")
+    return held.join(open_.hint("shuffle_hash"), "key")
+
+
+def _possible(x: str, y: str, share: int) -> Column:
+    """Whether two sets that share a key may be similar, by their sizes and the shingles behind the key."""
+    n, m = F.col(f"{x}n"), F.col(f"{y}n")
+    need = F.ceil((n + m).cast("long") * share / (100 + share) - 1e-9)
+    return (100 * n >= share * m) & (100 * m >= share * n) & (F.least(n - F.col(f"{x}at"), m - F.col(f"{y}at")) >= need)
+
+
+def hub_pairs(shared: DataFrame, groups: DataFrame, share: int) -> DataFrame:
+    """(a, b): each node and, for each of its keys, the node with the fewest rarer shingles.
+
+    That is the original where many copies differ from it in their own ways.  It is a short
+    cut: what it links leaves fewer pairs to cross_pairs."""
+    rows = _grouped(shared, groups)
+    rows = rows.where((F.col("c") != F.col("hub.c")) & _possible("", "hub.", share))
+    return rows.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+
+
+def cross_pairs(shared: DataFrame, groups: DataFrame, share: int) -> DataFrame:
+    """(a, b): all nodes of different components that share a key and may be similar."""
+    rows = written(_grouped(shared, groups).drop("hub"), "open-prefixes")
+    x, y = rows.alias("x"), rows.alias("y")
+    met = x.join(y.hint("shuffle_hash"), (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c")) & _possible("x.", "y.", share))
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, rows: DataFrame, share: int) -> DataFrame:
@@ -129,24 +212,23 @@ def verified(pairs: DataFrame, rows: DataFrame, share: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, share: int = 85) -> DataFrame:
     """(row_id, doc_id, n_shingles, component_id, component, h1, h2) per row of docs.
 
-    Rows with the same set are one node.  Nodes next to each other in a sorted order are
-    checked first; of the other candidates (up to NEIGHBOURS places away) only those that
-    are not yet in one component, as more links change none.  component_id: the smallest
-    doc_id reachable.  A null or empty text has no shingles and is linked with nothing (its
-    component is its own id); rows without an id take their component's; repeated rows share
-    one; other columns aren't read.
+    Rows with the same set are one node.  Neighbours in the forest's orders are checked
+    first, then hubs; then all pairs of nodes that are not yet in one component and share a
+    shingle of their prefixes, so every link that joins components is found.  component_id:
+    the smallest doc_id reachable.  A null or empty text has no shingles and is linked with
+    nothing (its component is its own id); rows without an id take their component's;
+    repeated rows share one; other columns aren't read.
     """
     rows = signed(docs)
     sets = rows.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("row_id").alias("node"), F.min("doc_id").alias("least_id"))
     sets = written(sets, "nodes")
-    nodes = rows.select(F.col("row_id").alias("node"), "sig").join(sets.select("node"), "node", "left_semi")
-    pairs = written(candidate_pairs(written(regions(nodes), "regions")), "pairs")
-    links = written(verified(pairs.where("rank = 0"), rows, share), "confirmed")
-    groups = components(links)
-    of = lambda side: groups.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
-    rest = pairs.where("rank > 0").join(of("a"), "a", "left").join(of("b"), "b", "left")
-    rest = written(rest.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b"), "rest")
-    links = written(links.union(verified(rest, rows, share)), "all-links")
+    nodes = rows.select(F.col("row_id").alias("node"), "sig", "text").join(sets.select("node"), "node", "left_semi")
+    pairs = written(candidate_pairs(written(regions(nodes.drop("text")), "regions")), "pairs")
+    links = written(verified(pairs, rows, share), "confirmed")
+    shared = prefixes(nodes, share)
+    for found in (hub_pairs, cross_pairs):
+        pairs = written(found(shared, components(links), share), found.__name__)
+        links = written(links.union(verified(pairs, rows, share)), "all-links")
     groups = components(links)
     labelled = sets.join(groups, "node", "left").select("k1", "k2", "least_id", F.coalesce("component", "node").alias("component"))
     least = labelled.groupBy("component").agg(F.min("least_id").alias("component_id"))

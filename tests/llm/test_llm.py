@@ -193,6 +193,22 @@ def test_near_duplicates(spark, docs):
     assert {i for i, n, c in groups_of(rows, 85) if n and i in ids} == want and len([i for i in ids if i in want]) == len(want)
 
 
+@pytest.mark.parametrize(("copies", "place"), [(10, 0), (300, 150), (2000, 2000)])
+def test_near_duplicates_of_a_star(spark, copies, place):
+    """Copies that are near the original, wherever it stands, but not near each other."""
+    base, rows = prose(200, 900).split(), []
+    for k in range(copies):
+        words = list(base)
+        for j in range(3):
+            words[random.Random(k).randrange(15) + 20 + 60 * j] = f"c{k}-{j}"
+        rows.append((k, " ".join(words)))
+    rows.insert(place, (copies, " ".join(base)))
+    rows += [(9000 + k, prose(120, 3000 + k)) for k in range(20)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(table).collect()}
+    assert got == {i: 0 if i <= copies else i for i, _ in rows}
+
+
 def test_components(spark):
     chain = [(k + 1, k) for k in range(50)] + [(100, 101), (101, 102), (200, 200)]
     got = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).collect()))
