@@ -246,6 +246,12 @@ def test_chains_follow_the_best_order():
         assert abs(score(chaining.chains(a, b)[0]) - best) < 1e-9
 
 
+def test_chains_after_a_long_chain():
+    """A second passage of two texts is linked, however well an earlier one ended."""
+    at = [*range(0, 201, 4), *range(700, 761, 4)]
+    assert sorted(map(len, chaining.chains(at, at))) == [16, 51]
+
+
 def test_contamination(spark):
     item, short = prose(40, 21), "six words make this item whole"
     swapped = item.upper().split()
