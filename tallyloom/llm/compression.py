@@ -30,7 +30,7 @@ class Band:
 BANDS = (Band(256, 0.32, 1.1), Band(1024, 0.30, 0.90), Band(4096, 0.28, 0.75), Band(16384, 0.25, 0.68), Band(float("inf"), 0.20, 0.65))
 CHUNK = 4096
 CHUNK_BAND = Band(CHUNK, 0.20, 0.75)
-CHUNKS_FAILED = 0.25  # of a text's full chunks, at most
+CHUNKS_FAILED = 0.25  # of a text's chunks, at most
 
 
 def band_of(n: int, bands: tuple[Band, ...]) -> Band:
@@ -63,9 +63,10 @@ def repeated_words(hashes: np.ndarray, width: int = WINDOW) -> int:
     return int(np.count_nonzero(np.cumsum(edges)))
 
 
-def chunk_sizes(data: bytes, chunk: int) -> range:
-    """Starts of the full chunks."""
-    return range(0, len(data) - chunk + 1, chunk)
+def chunk_starts(data: bytes, chunk: int) -> list[int]:
+    """Starts of the full chunks; what is left over is seen by a last chunk that ends at the text's end."""
+    starts = list(range(0, len(data) - chunk + 1, chunk))
+    return starts + [len(data) - chunk] if starts and len(data) % chunk else starts
 
 
 def quality_by_compression(
@@ -74,7 +75,7 @@ def quality_by_compression(
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, ratio, n_chunks, n_chunks_failed, kept) per row.
 
     kept: false if the base rules fail, the whole text's ratio leaves the band of its
-    length, or more than `chunks_failed` of its full chunks leave theirs (a repetitive or
+    length, or more than `chunks_failed` of its chunks leave theirs (a repetitive or
     random part in a normal whole).  A null text counts as empty: no words, so base_failed,
     ratio null.  Each row is judged by itself, so repeated rows, null ids and any other
     columns change nothing.
@@ -92,7 +93,7 @@ def quality_by_compression(
             counts = base_counts(text, words, memo.of(words))
             failed = len(words) < 20 or 100 * counts[3] > 30 * len(words)
             ratio = len(packer.compress(data)) / len(data) if data else None
-            band, starts = band_of(len(data), bands), chunk_sizes(data, chunk)
+            band, starts = band_of(len(data), bands), chunk_starts(data, chunk)
             parts = [len(packer.compress(data[i : i + chunk])) / chunk for i in starts]
             bad = sum(not chunk_band.low <= x <= chunk_band.high for x in parts)
             kept = not failed and band.low <= ratio <= band.high and bad <= chunks_failed * len(parts)

@@ -109,6 +109,16 @@ def test_compression_bands(spark, docs):
     assert [r.kept for r in compression.quality_by_compression(rows).orderBy("doc_id").collect()] == [False, False, True]
 
 
+def test_compression_bands_of_tails(spark):
+    """A repetitive tail behind a normal first chunk, or before it."""
+    rng = random.Random(8)
+    normal = " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(1000))[:4096]
+    rows = "\n".join(f"row {k} of the same table" for k in range(160))
+    table = spark.createDataFrame([(1, f"{normal}\n{rows}"), (2, f"{rows}\n{normal}"), (3, normal + normal[::-1][:900]), (4, normal)], "doc_id long, text string")
+    got = compression.quality_by_compression(table).orderBy("doc_id").collect()
+    assert [(r.n_chunks, r.n_chunks_failed, r.kept) for r in got] == [(2, 1, False), (2, 1, False), (2, 0, True), (1, 0, True)]
+
+
 def test_secret_scan(spark):
     texts = [None, "", "password = hunter22 and token:abc", "API-key", "api_key: 'ABCDEFG' apikey=zz/yy/xx", "AKIA" + "Z" * 15, "é AKIA" + "Z" * 16, "x" + "0a" * 12 + " " + "f" * 23, "passwd=ABCDEFé secret='token=abcdefg'", "sEcReT:  aaaaaa " * 3000]
     rows = spark.createDataFrame([*enumerate(texts), (None, texts[2]), (2, texts[6])], "doc_id long, text string").withColumn("rules", F.lit(1)).withColumn("spans", F.lit(2))
