@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.common import MEMO_ENTRIES, kept_in_worker, table, texts, windows_hashed, written
 
-# The places of a window that each mask reads.
-MASKS = ((0, 1, 2, 3, 4, 5, 6, 7), (0, 1, 2, 4, 7, 8, 10, 12), (0, 1, 3, 4, 6, 9, 11, 12), (0, 2, 3, 5, 8, 9, 10, 13), (0, 1, 4, 5, 7, 10, 11, 13))
+# The places of a window that each mask reads.  They hit each overlap of 13 to 24 words with LEAST_WORDS equal
+# ones at a share of LEAST_EQUAL, wherever the others stand; a longer overlap holds one of these.
+MASKS = ((0, 1, 2, 3, 5, 6, 7), (0, 1, 3, 8, 9, 11, 12), (0, 1, 3, 7, 9, 10, 11), (0, 1, 2, 3, 6, 10, 11), (0, 1, 5, 7, 11, 12, 13), (0, 2, 4, 6, 7, 8, 9))
 SPAN = 14  # items of fewer words are looked for as a whole
 LEAST_WORDS = 13  # equal words of an overlap, or all of a shorter item
 LEAST_EQUAL = 0.8  # of the words of an overlap
@@ -151,19 +152,21 @@ def _segments(docs: DataFrame, filter_: np.ndarray, short: list[int]) -> DataFra
 
 
 def overlap(a: np.ndarray, b: np.ndarray, shift: int, least_equal: float) -> tuple[int, int, int]:
-    """(equal words, start, end in b) of the best stretch where a[i] meets b[i + shift].
+    """(equal words, start, end in b) of the stretch where a[i] meets b[i + shift] with the most equal words.
 
     A stretch's score is +1 for an equal pair and less for another, so that stretches with
-    a share of equal words above least_equal score above 0."""
+    a share of equal words of at least least_equal score at least 0.  For each end the
+    earliest start with such a score is taken."""
     low, high = max(0, -shift), min(len(a), len(b) - shift)
     if high <= low:
         return 0, 0, 0
     same = a[low:high] == b[low + shift : high + shift]
     score = np.concatenate([[0.0], np.cumsum(np.where(same, 1.0, -least_equal / (1 - least_equal)))])
-    best = score - np.minimum.accumulate(score)
-    end = int(best.argmax())
-    start = int(np.flatnonzero(score[: end + 1] == score[: end + 1].min())[-1])
-    return int(same[start:end].sum()), low + shift + start, low + shift + end
+    starts = np.searchsorted(-np.minimum.accumulate(score), -score - 1e-6)
+    equal = np.concatenate([[0], np.cumsum(same)])
+    end = int((equal - equal[starts]).argmax())
+    start = int(starts[end])
+    return int(equal[end] - equal[start]), low + shift + start, low + shift + end
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "item_id", least_words: int = LEAST_WORDS, least_equal: float = LEAST_EQUAL) -> DataFrame:

@@ -277,6 +277,37 @@ def test_contamination(spark):
     assert not any(r.contaminated for r in decontaminate.contamination(table, bench.limit(0)).collect())
 
 
+def overlaps_within_limits():
+    """(n, changed places) of all overlaps of 13 to 24 words with as many changed as the limits allow.
+
+    Longer ones hold one of these: cut into parts of 16 to 24 words, one part has the share
+    and so 13 equal words, also without changed words at its ends."""
+    for n in range(decontaminate.LEAST_WORDS, 25):
+        yield from ((n, s) for s in combinations(range(1, n - 1), min(n - decontaminate.LEAST_WORDS, n // 5)))
+
+
+def test_masks_hit_all_overlaps():
+    windows = {n: [sum(1 << i + p for p in m) for m in decontaminate.MASKS for i in range(n - m[-1])] for n in range(13, 25)}
+    for n, changed in overlaps_within_limits():
+        places = sum(1 << i for i in changed)
+        assert any(not w & places for w in windows[n]), (n, changed)
+
+
+def test_contamination_of_short_overlaps(spark):
+    bench = [(n, prose(n, 500 + n)) for n in (16, 20, 24)]
+    rows = []
+    for n, item in bench:
+        cases = [s for m, s in overlaps_within_limits() if m == n]
+        for changed in random.Random(n).sample(cases, min(200, len(cases))):
+            words = item.split()
+            for k in changed:
+                words[k] = f"new{k}"
+            rows.append((n, f"{prose(20, 20000 + len(rows))} {' '.join(words)} {prose(20, 40000 + len(rows))}"))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontaminate.contamination(table, spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert len(got) == len(rows) and all(r.item_ids == [r.doc_id] for r in got)
+
+
 def test_ordinal_grades(spark):
     rng, rows, grades = random.Random(2), [], []
     for i in range(900):
