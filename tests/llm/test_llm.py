@@ -256,6 +256,15 @@ def test_chains_follow_the_best_order():
         assert abs(score(chaining.chains(a, b)[0]) - best) < 1e-9
 
 
+def test_passages_with_many_changed_words(spark):
+    """Seven equal words in a row at most, changed words at both ends of what the seeds cover."""
+    base = prose(80, 31).split()
+    other = [f"n{k}" if k % 8 == 7 and k < 79 else w for k, w in enumerate(base)]
+    table = spark.createDataFrame([(1, f"{prose(50, 32)} {' '.join(base)} {prose(20, 33)}"), (2, f"{' '.join(other)} {prose(90, 34)}")], "doc_id long, text string")
+    got = {r.doc_id: (r.start, r.end, r.n_equal) for r in chaining.passages(table).collect()}
+    assert got == {1: (50, 130, 71), 2: (0, 80, 71)}
+
+
 def test_chains_after_a_long_chain():
     """A second passage of two texts is linked, however well an earlier one ended."""
     at = [*range(0, 201, 4), *range(700, 761, 4)]
