@@ -265,6 +265,15 @@ def test_passages_with_many_changed_words(spark):
     assert got == {1: (50, 130, 71), 2: (0, 80, 71)}
 
 
+def test_passages_held_twice(spark):
+    """Each place of a passage is listed, whichever of the texts is the first by hash."""
+    for seed in range(41, 45):
+        shared = prose(70, seed)
+        rows = [(1, f"{prose(20, seed + 10)} {shared} {prose(30, seed + 20)}"), (2, f"{shared} {prose(130, seed + 30)} {shared} {prose(9, seed + 40)}")]
+        got = {(r.doc_id, r.start, r.end) for r in chaining.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == {(1, 20, 90), (2, 0, 70), (2, 200, 270)}
+
+
 def test_chains_after_a_long_chain():
     """A second passage of two texts is linked, however well an earlier one ended."""
     at = [*range(0, 201, 4), *range(700, 761, 4)]
