@@ -208,9 +208,9 @@ def test_near_duplicates_of_a_star(spark, copies, place):
     """Copies that are near the original, wherever it stands, but not near each other."""
     base, rows = prose(200, 900).split(), []
     for k in range(copies):
-        words = list(base)
+        words, rng = list(base), random.Random(k)
         for j in range(3):
-            words[random.Random(k).randrange(15) + 20 + 60 * j] = f"c{k}-{j}"
+            words[5 + 65 * j + rng.randrange(55)] = f"c{k}-{j}"
         rows.append((k, " ".join(words)))
     rows.insert(place, (copies, " ".join(base)))
     rows += [(9000 + k, prose(120, 3000 + k)) for k in range(20)]
