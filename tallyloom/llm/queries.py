@@ -1,6 +1,7 @@
 """The named queries of this subpackage and the SQL of their results."""
 
 from tallyloom.llm import line_join, lsh_forest, secrets
+from tallyloom.llm.best_fit import op13_best_fit_packing
 from tallyloom.llm.chaining import op6_passage_chains
 from tallyloom.llm.compression import op5_compression_bands
 from tallyloom.llm.decontaminate import op8_spaced_seeds
@@ -22,6 +23,7 @@ QUERIES = {
         op8_spaced_seeds,
         op9_ordinal_quality,
         op10_mixture_packing,
+        op13_best_fit_packing,
     )
 }
 # Trained models, compression, tokenizers and chained alignments have no SQL; they are tested against brute force.
