@@ -9,6 +9,7 @@ from tallyloom.llm.html_blocks import op1_block_lstm
 from tallyloom.llm.ordinal import op9_ordinal_quality
 from tallyloom.llm.packing import op10_mixture_packing
 from tallyloom.llm.token_counts import op7_token_counts
+from tallyloom.llm.whitening import op12_whitening
 
 QUERIES = {
     f.__name__: f
@@ -23,6 +24,7 @@ QUERIES = {
         op8_spaced_seeds,
         op9_ordinal_quality,
         op10_mixture_packing,
+        op12_whitening,
         op13_best_fit_packing,
     )
 }
