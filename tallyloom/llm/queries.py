@@ -1,6 +1,6 @@
 """The named queries of this subpackage and the SQL of their results."""
 
-from tallyloom.llm import line_join, lsh_forest, secrets
+from tallyloom.llm import line_join, lsh_forest, prefix_trie, secrets
 from tallyloom.llm.best_fit import op13_best_fit_packing
 from tallyloom.llm.chaining import op6_passage_chains
 from tallyloom.llm.compression import op5_compression_bands
@@ -24,9 +24,10 @@ QUERIES = {
         op8_spaced_seeds,
         op9_ordinal_quality,
         op10_mixture_packing,
+        prefix_trie.op11_prefix_trie,
         op12_whitening,
         op13_best_fit_packing,
     )
 }
 # Trained models, compression, tokenizers and chained alignments have no SQL; they are tested against brute force.
-ORACLE = {"op2_secret_scan": secrets.sql(), "op3_line_join": line_join.SQL, "op4_lsh_forest": lsh_forest.SQL}
+ORACLE = {"op2_secret_scan": secrets.sql(), "op3_line_join": line_join.SQL, "op4_lsh_forest": lsh_forest.SQL, "op11_prefix_trie": prefix_trie.SQL}
