@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from tallyloom.operators.counts import channel_summary
@@ -24,7 +26,6 @@ from tallyloom.plans.queries.base import (
 )
 from tallyloom.plans.queries.frames import DEDUPED, FACTS, SHIFTED, deduped, next_month
 from tallyloom.plans.queries.sources import INSIGHTS_SQL, DAYS_SQL, RESPONSES, insights
-from tallyloom.schema import FACT_COLUMNS
 from tallyloom.sources.api import read_insights
 from tallyloom.sources.grids import GRID_SCHEMA, land_grid, scan_grid
 from tallyloom.sources.storage import scratch
@@ -32,10 +33,12 @@ from tallyloom.sources.tables import (
     ensure_table,
     initial_load,
     read_facts,
+    read_changes,
+    read_days,
+    read_last_days,
     read_table,
+    replace_table,
     upsert,
-    with_month,
-    write_months,
 )
 from tallyloom.streaming.intake import intake, watch
 
@@ -52,7 +55,7 @@ def per_month(df):
 def _(t):
     path = scratch(t.spark, "table")
     assert not ensure_table(t.spark, path)
-    write_months(with_month(ad_facts(t).select(*FACT_COLUMNS)), path)
+    replace_table(t.spark, path, ad_facts(t))
     assert ensure_table(t.spark, path)
     return per_month(read_table(t.spark, path))
 
@@ -60,8 +63,8 @@ def _(t):
 @query("a09_staging_load", PER_MONTH.format(f"{DEDUPED} SELECT * FROM deduped"))
 def _(t):
     path = scratch(t.spark, "staging")
-    write_months(with_month(ad_facts(t).select(*FACT_COLUMNS)), path, mode="all")
-    write_months(with_month(deduped(t)), path, mode="all")  # replaces what was there
+    replace_table(t.spark, path, ad_facts(t))
+    replace_table(t.spark, path, deduped(t))  # replaces what was there
     return per_month(read_table(t.spark, path))
 
 
@@ -143,6 +146,72 @@ def _(t):
     return rounded(read_facts(t.spark, path))
 
 
+@query(
+    "d02_two_versions",
+    f"""{DEDUPED}, {SHIFTED} SELECT 1 AS version, strftime(Date, '%Y-%m') AS ym, count(*) AS n, sum(Clicks) AS clicks
+ FROM deduped GROUP BY ALL UNION ALL
+ SELECT 2, strftime(Date, '%Y-%m'), count(*), sum(Clicks) FROM merged GROUP BY ALL""",
+)
+def _(t):
+    """A version opened before a change reads the same after it, and can be opened again."""
+    path = scratch(t.spark, "table")
+    upsert(t.spark, path, deduped(t))
+    before = read_table(t.spark, path)
+    upsert(t.spark, path, next_month(read_facts(t.spark, path)))
+    held, again = (per_month(df) for df in (before, read_table(t.spark, path, 1)))
+    both = held.intersectAll(again).withColumn("version", F.lit(1))
+    return both.unionByName(per_month(read_table(t.spark, path)).withColumn("version", F.lit(2)))
+
+
+@query(
+    "d02_change_feed",
+    f"""{DEDUPED}, {SHIFTED} SELECT strftime(Date, '%Y-%m') AS ym, change, count(*) AS n, sum(Clicks) AS clicks
+ FROM merged WHERE change <> 'kept' GROUP BY ALL""",
+)
+def _(t):
+    path = scratch(t.spark, "table")
+    upsert(t.spark, path, deduped(t))
+    upsert(t.spark, path, next_month(read_facts(t.spark, path)))
+    changed = read_changes(t.spark, path).withColumn("ym", F.date_format("Date", "yyyy-MM"))
+    return changed.groupBy("ym", F.col("_change").alias("change")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("Clicks").alias("clicks")
+    )
+
+
+@query("d02_two_writers", f"{DEDUPED}, {SHIFTED} SELECT {FACTS} FROM merged")
+def _(t):
+    """Two batches merged at the same time into the same months."""
+    path = scratch(t.spark, "table")
+    upsert(t.spark, path, deduped(t))
+    batch = next_month(read_facts(t.spark, path))
+    bing = F.col("Channel").startswith("Bing")
+    with ThreadPoolExecutor(2) as pool:
+        for done in [pool.submit(upsert, t.spark, path, batch.filter(p)) for p in (bing, ~bing)]:
+            done.result()
+    return rounded(read_facts(t.spark, path))
+
+
+@query(
+    "c14_days_of_table",
+    f"""{DEDUPED} SELECT 'range' AS what, Date, Channel, count(*) AS n FROM deduped
+ WHERE Date BETWEEN DATE '1995-02-01' AND DATE '1996-03-31' GROUP BY ALL UNION ALL
+ SELECT 'look-back', Date, Channel, count(*) FROM deduped
+ WHERE Date BETWEEN DATE '1996-02-27' AND DATE '1996-03-04' GROUP BY ALL""",
+)
+def _(t):
+    """Days of the table: only the folders of their months are read."""
+    path = scratch(t.spark, "table")
+    replace_table(t.spark, path, deduped(t))
+    parts = {
+        "range": read_days(t.spark, path, "1995-02-01", "1996-03-31"),
+        "look-back": read_last_days(t.spark, path, 7, "1996-03-05"),
+    }
+    return union_all(
+        df.groupBy("Date", "Channel").agg(F.count(F.lit(1)).alias("n")).select(F.lit(what).alias("what"), "*")
+        for what, df in parts.items()
+    )
+
+
 @query(
     "entry_api_combine",
     f"""SELECT Channel, count(Date) AS "Rows", round(sum(s), 2) AS Spend, sum(c) AS Clicks,

@@ -9,12 +9,16 @@ from tallyloom.operators.upsert import change_counts, merge
 from tallyloom.schema import FACT_COLUMNS
 from tallyloom.sources.tables import (
     ensure_table,
-    finish_pending,
     initial_load,
+    read_changes,
+    read_days,
     read_facts,
+    read_last_days,
     read_table,
+    replace_table,
     upsert,
 )
+from tallyloom.sources.versions import Conflict, Version, commit, new_change, numbers, publish, vacuum, version
 
 AD = {"Date": "2026-04-01", "Country": "HK", "Channel": "Meta", "Campaign": "c", "Channel_Group": "Meta"}
 LEAD = {"Date": "2026-04-01", "Country": "HK", "Channel": "Meta", "Campaign": "Meta", "Channel_Group": "Meta"}
@@ -165,23 +169,103 @@ def test_refused_batch_leaves_the_table_as_it_was(facts, spark, table):
     assert upsert(spark, table, month(facts, 4, 4.0))["updated"] == 1
 
 
-def test_interrupted_swap_is_completed_by_the_next_run(facts, spark, table, monkeypatch):
+def test_interrupted_upsert_has_no_effect(facts, spark, table, monkeypatch):
     from tallyloom.sources import tables as module
 
     upsert(spark, table, month(facts, 4, 1.0))
-    apply = module._apply
 
     def die(*a):
         raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(module, "_apply", die)
-    with pytest.raises(RuntimeError):
-        upsert(spark, table, month(facts, 4, 8.0))
-    monkeypatch.setattr(module, "_apply", apply)
+    with monkeypatch.context() as m:
+        m.setattr(module, "commit", die)
+        with pytest.raises(RuntimeError):
+            upsert(spark, table, month(facts, 4, 8.0))
     assert rows(read_facts(spark, table), "Spend_AUD") == [(1.0,)]
-    assert finish_pending(spark, table)
+    assert upsert(spark, table, month(facts, 4, 8.0))["updated"] == 1
     assert rows(read_facts(spark, table), "Spend_AUD") == [(8.0,)]
-    assert not finish_pending(spark, table)
+
+
+def test_readers_keep_their_version(facts, spark, table):
+    upsert(spark, table, month(facts, 4, 1.0))
+    opened = read_facts(spark, table)
+    upsert(spark, table, month(facts, 4, 2.0).unionByName(month(facts, 5, 3.0)))
+    assert rows(opened, "Spend_AUD") == [(1.0,)] == rows(read_facts(spark, table, 1), "Spend_AUD")
+    assert rows(read_facts(spark, table), "Spend_AUD") == [(2.0,), (3.0,)]
+    assert rows(read_changes(spark, table), "Spend_AUD", "_change") == [(2.0, "updated"), (3.0, "inserted")]
+    assert replace_table(spark, table, month(facts, 6, 9.0)).number == 3
+    assert rows(read_facts(spark, table), "Spend_AUD") == [(9.0,)]
+    assert rows(read_changes(spark, table), "Spend_AUD", "_change") == [(9.0, "loaded")]
+    assert read_changes(spark, table, 0).count() == 0 and read_facts(spark, table, 0).count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, table + "-elsewhere")
+
+
+def test_a_writer_who_comes_late_merges_with_the_newer_rows(facts, spark, table, monkeypatch):
+    from tallyloom.sources import tables as module
+
+    upsert(spark, table, month(facts, 4, 1.0))
+    published, others = module.commit, [month(facts, 4, 5.0, Campaign="other"), month(facts, 5, 6.0)]
+
+    def after_another(spark, path, base, change, months):
+        if others:
+            upsert_now = others.pop()
+            with monkeypatch.context() as m:
+                m.setattr(module, "commit", published)
+                upsert(spark, path, upsert_now)
+        return published(spark, path, base, change, months)
+
+    monkeypatch.setattr(module, "commit", after_another)
+    # First another month changes, which is no conflict; then nobody is left to interfere.
+    assert upsert(spark, table, month(facts, 4, 2.0))["updated"] == 1
+    assert rows(read_facts(spark, table), "Spend_AUD") == [(2.0,), (6.0,)]
+    # Now the same month changes: the batch is merged again, and nothing is lost.
+    assert upsert(spark, table, month(facts, 4, 3.0)) == {"updated": 1, "inserted": 0, "rows_before": 2, "rows_after": 2}
+    assert rows(read_facts(spark, table), "Spend_AUD") == [(3.0,), (5.0,), (6.0,)]
+
+
+def test_versions_are_taken_once(spark, table):
+    assert publish(spark, table, Version(0, {})) and not publish(spark, table, Version(0, {"2026-04": "x"}))
+    assert version(spark, table) == Version(0, {})
+    base = Version(0, {})
+    assert publish(spark, table, Version(1, {"2026-04": "x"}))
+    with pytest.raises(Conflict, match="2026-04"):
+        commit(spark, table, base, new_change(), ["2026-04"])
+    assert commit(spark, table, base, new_change(), ["2026-05"]) == Version(2, {"2026-04": "x"})
+    assert numbers(spark, table) == [0, 1, 2]
+
+
+def test_many_writers_at_once_lose_nothing(facts, spark, table):
+    from concurrent.futures import ThreadPoolExecutor
+
+    batches = [month(facts, 4, float(i), Campaign=f"c{i}") for i in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda b: upsert(spark, table, b), batches))
+    assert rows(read_facts(spark, table), "Spend_AUD") == [(float(i),) for i in range(4)]
+
+
+def test_vacuum_keeps_what_versions_need(facts, spark, table):
+    for spend in (1.0, 2.0, 3.0):
+        upsert(spark, table, month(facts, 4, spend))
+    upsert(spark, table, month(facts, 5, 4.0))
+    assert vacuum(spark, table, keep=1) == 0  # younger than a day
+    assert numbers(spark, table) == [4]
+    assert vacuum(spark, table, keep=1, grace_hours=0) == 2
+    assert rows(read_facts(spark, table), "Spend_AUD") == [(3.0,), (4.0,)]
+
+
+def explained(spark, df):
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+def test_days_read_the_folders_of_their_months_alone(facts, spark, table):
+    for m in (3, 4, 5):
+        upsert(spark, table, month(facts, m, float(m)))
+    df = read_last_days(spark, table, 7, "2026-05-04")
+    (line,) = [x for x in explained(spark, df).splitlines() if x.startswith("PartitionFilters")]
+    assert "ym#" in line and ">= 2026-04" in line and "<= 2026-05" in line
+    assert rows(df) == [] and rows(read_days(spark, table, "2026-03-05", "2026-04-05"), "Spend_AUD") == [(3.0,), (4.0,)]
 
 
 def test_initial_load_reads_text_and_replaces(facts, spark, table):

@@ -18,6 +18,12 @@ SAMPLE = (
     "s15_adroll_api"
 ).split()
 
+# Trained models, compression, tokenizers, alignments and eigenvectors; absent without the text operators.
+WITHOUT_SQL = set(
+    "pipeline op1_block_lstm op5_compression_bands op6_passage_chains op7_token_counts op8_spaced_seeds "
+    "op9_ordinal_quality op10_mixture_packing op12_whitening op13_best_fit_packing".split()
+)
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -40,7 +46,8 @@ def test_query_equals_its_sql(name, con, spark):
 
 def test_every_query_has_sql_and_every_operator_a_query():
     names = set(entry.queries())
-    assert names == set(entry.oracle_sql())
+    assert names - set(entry.oracle_sql()) == WITHOUT_SQL & names
+    assert names - WITHOUT_SQL >= set(SAMPLE)
     for letter, last in {"b": 11, "c": 14, "d": 4, "e": 10, "f": 3, "g": 3, "h": 2, "i": 27, "j": 2}.items():
         for i in range(1, last + 1):
             assert any(n.startswith(f"{letter}{i:02d}_") for n in names), (letter, i)
