@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.counts import run_summary
@@ -17,14 +17,18 @@ from tallyloom.operators.predicates import funded
 from tallyloom.schema import FAULT, SourceError, empty_facts, name, warehouse_shape
 from tallyloom.settings import RunOptions
 from tallyloom.sources import grids as G
+from tallyloom.sources.delimited import scan_delimited
 from tallyloom.sources.files import newest_files
 from tallyloom.sources.leads import lead_facts, lead_rows
-from tallyloom.sources.registry import LEADS_LABEL, SOURCES, SourceSpec, lead_header
+from tallyloom.sources.registry import LABELS, LEAD_KEYS, LEADS_LABEL, SOURCES, SourceSpec, lead_header
+from tallyloom.sources.storage import exists, move, names, remove, scratch
 from tallyloom.sources.tables import upsert
 
 # Columns a fact row carries until duplicates are gone: where it stands in the run.
 PLACE = ("_source", "_rank", "_sheet_no", "_row_no")
 CRM_RANK = 1 << 20  # lead counts stand after every ad source
+TOP_ROWS = 64  # of a sheet, searched for the header before the rest is
+WORKBOOKS = (".xlsx", ".xls")
 
 
 @dataclass
@@ -34,6 +38,7 @@ class Parsed:
     facts: DataFrame
     failed: list[tuple[str, str]] = field(default_factory=list)
     files: dict[str, str] = field(default_factory=dict)
+    folder: str | None = None  # where the rows are staged
 
 
 class ChosenSheet(NamedTuple):
@@ -57,24 +62,44 @@ def source_status(frame: DataFrame) -> DataFrame:
     return counted
 
 
+def verdicts(seen: Mapping[str, tuple[int, str | None]], labels: Sequence[str]) -> list[tuple[str, str]]:
+    """(label, reason) of the labels that fail, of (rows, reason of a fault) by label.
+
+    A source fails as a whole; one that yields no row fails as well.
+    """
+    return [
+        (label, seen[label][1] if seen.get(label, (0, None))[0] else "no usable rows")
+        for label in labels
+        if not seen.get(label, (0, None))[0] or seen[label][1]
+    ]
+
+
 def gate(frame: DataFrame, labels: Sequence[str]) -> tuple[DataFrame, list[tuple[str, str]]]:
     """Rows of the sources without any fault, and (label, reason) of the rest.
 
-    A source fails as a whole.  `labels` are those expected, so one that yields no
-    row is reported as well; the driver sees one line per label.
+    `labels` are those expected; the driver sees one line per label.
     """
     known = source_status(frame.filter(F.col("_source").isin(*labels))).collect()
-    seen = {r["_source"]: r for r in known}
-    failed = []
-    for label in labels:
-        if label not in seen:
-            failed.append((label, "no usable rows"))
-        elif seen[label].faults:
-            failed.append((label, seen[label].reason))
+    failed = verdicts({r["_source"]: (r.rows, r.reason) for r in known}, labels)
     bad = {label for label, _ in failed}
     return frame.filter(F.col("_source").isin([x for x in labels if x not in bad])), failed
 
 
+def staged_once(frame: DataFrame, labels: Sequence[str]) -> tuple[DataFrame, dict[str, tuple[int, str | None]], str]:
+    """The frame written once by source and read again, (rows, reason) by label, and its folder.
+
+    Rows and faults are observed while the rows are written, so nothing is computed twice.
+    """
+    spark, folder, seen = frame.sparkSession, scratch(frame.sparkSession, "parsed"), Observation()
+    mine = [F.col("_source") == label for label in labels]
+    metrics = [F.count_if(m).alias(f"rows{i}") for i, m in enumerate(mine)]
+    metrics += [F.min(F.when(m, F.col(FAULT))).alias(f"fault{i}") for i, m in enumerate(mine)]
+    frame.observe(seen, *metrics).write.partitionBy("_source").parquet(folder)
+    found = seen.get
+    status = {label: (found[f"rows{i}"], found[f"fault{i}"]) for i, label in enumerate(labels)}
+    return spark.read.schema(frame.schema).parquet(folder), status, folder
+
+
 # Reading ------------------------------------------------------------------------
 
 
@@ -90,7 +115,8 @@ def chosen_sheets(grid: DataFrame, files: Mapping[str, str], specs: Sequence[Sou
     """Sheets to read with their header rows, by path: {path: [(sheet, header_row, header)]}.
 
     Comes to the driver, as plans are built from it: a few rows per workbook.  Names
-    are looked at first, then cells of the chosen sheets alone.
+    are looked at first, then the top rows of the chosen sheets, then all rows of those
+    that have no header there.
     """
     by_key = {s.key: s for s in specs}
     lead = SourceSpec(LEADS_LABEL, "ql", None, header=lead_header)
@@ -115,7 +141,10 @@ def chosen_sheets(grid: DataFrame, files: Mapping[str, str], specs: Sequence[Sou
         located = G.locate_headers(rows.filter(here), is_header).collect()
         return {(r.path, r.sheet): r for r in located if r.header_row is not None}
 
-    found = heads(picked, mine)
+    # A header among a sheet's top rows is its first one: the rest of the sheet isn't read.
+    found = heads(picked, mine.filter(F.col("row_no") < TOP_ROWS))
+    deeper = [s for s in picked if (s.path, s.sheet) not in found]
+    found |= heads(deeper, mine)
     out: dict[str, list] = {}
     for s in sorted(picked, key=lambda s: (s.path, s.sheet_no)):
         head = found.get((s.path, s.sheet))
@@ -134,8 +163,8 @@ def raw_tables(grid: DataFrame, sheets: Sequence) -> list[DataFrame]:
     for s in located:
         layouts.setdefault(tuple(s.header), []).append(s)
     return [
-        union_all(G.table_below(grid, s.path, s.sheet, s.header_row, s.header) for s in group)
-        for group in layouts.values()
+        G.tables_of_layout(grid, [(s.path, s.sheet, s.header_row) for s in group], header)
+        for header, group in layouts.items()
     ]
 
 
@@ -143,28 +172,48 @@ def _placed(facts: DataFrame, label: str, rank: int) -> DataFrame:
     return facts.withColumns({"_source": F.lit(label), "_rank": F.lit(rank)})
 
 
-def _leads(grid, files, sheets) -> DataFrame:
-    missing = [f"{k.upper()}_ file missing" for k in ("ql", "ft") if k not in files]
+def _leads(grid, files, sheets) -> tuple[DataFrame, str]:
+    """Fact rows of the lead pair, and the folder its rows are staged in."""
+    missing = [f"{k.upper()}_ file missing" for k in LEAD_KEYS if k not in files]
     if missing:
         raise SourceError("; ".join(missing))
-    ql, ft = (
-        union_all(lead_rows(t) for t in raw_tables(grid, sheets.get(files[k], [])))
-        for k in ("ql", "ft")
-    )
-    for rows, what in (
-        (ql, "QL: no valid rows"),
-        (ft, "FT: no valid rows"),
-        (ft.filter(funded("Stage")), "FT: no rows in a funded stage"),
+    feeds = [
+        union_all(lead_rows(t) for t in raw_tables(grid, sheets.get(files[k], []))).withColumn("feed", F.lit(k))
+        for k in LEAD_KEYS
+    ]
+    both, seen = union_all(feeds), Observation()
+    folder = scratch(both.sparkSession, "leads")
+    both.observe(
+        seen,
+        *[F.count_if(F.col("feed") == k).alias(k) for k in LEAD_KEYS],
+        F.count_if((F.col("feed") == "ft") & funded("Stage")).alias("funded"),
+    ).write.partitionBy("feed").parquet(folder)
+    for what, why in (
+        ("ql", "QL: no valid rows"),
+        ("ft", "FT: no valid rows"),
+        ("funded", "FT: no rows in a funded stage"),
     ):
-        if rows.isEmpty():
-            raise SourceError(what)
-    return lead_facts(ql, ft).withColumns(
+        if not seen.get[what]:
+            remove(both.sparkSession, folder)
+            raise SourceError(why)
+    staged = both.sparkSession.read.schema(both.schema).parquet(folder)
+    facts = lead_facts(*(staged.filter(F.col("feed") == k).drop("feed") for k in LEAD_KEYS))
+    return facts.withColumns(
         {
             "_sheet_no": F.lit(None).cast("int"),
             "_row_no": F.lit(None).cast("bigint"),
             FAULT: F.lit(None).cast("string"),
         }
-    )
+    ), folder
+
+
+def delimited_exports(spark: SparkSession, folder: str) -> list[str]:
+    """Files of a drop folder that aren't workbooks."""
+    return [
+        f"{folder.rstrip('/')}/{n}"
+        for n in sorted(names(spark, folder))
+        if not n.startswith((".", "_")) and not n.lower().endswith(WORKBOOKS)
+    ]
 
 
 def parse_all(
@@ -172,20 +221,32 @@ def parse_all(
     options: RunOptions | None = None,
     specs: Sequence[SourceSpec] = SOURCES,
     tables: Mapping[str, DataFrame] | None = None,
+    drop: str | None = None,
 ) -> Parsed:
     """Fact rows of the newest export of every source; a failing source only gets reported.
 
-    `tables` holds raw tables already read, by source key (delimited exports).
+    Files come from the grids and, where a source may be delimited text, from the folder
+    `drop`; the newest of both is read.  `tables` holds raw tables already read, by source
+    key.  All rows are computed once, staged, and read from there by whatever follows.
     """
-    options = options or RunOptions()
+    options, spark = options or RunOptions(), grid.sparkSession
     tables = dict(tables or {})
-    files = {r.source: r.path for r in newest_files(grid.select("path").distinct()).collect()}
-    on_grid = {k: p for k, p in files.items() if k not in tables}
+    exports = delimited_exports(spark, drop) if drop else []
+    manifest = grid.select("path").distinct()
+    if exports:
+        manifest = manifest.union(spark.createDataFrame([(p,) for p in exports], "path string"))
+    files = {r.source: r.path for r in newest_files(manifest).collect()}
+    text = {k: p for k, p in files.items() if p in set(exports) and k not in tables}
+    on_grid = {k: p for k, p in files.items() if k not in tables and k not in text}
     sheets = chosen_sheets(grid, on_grid, specs) if on_grid else {}
-    frames, failed = [], []
+    frames, failed, lead_rows_at = [], [], None
 
     for rank, spec in enumerate(specs):
         try:
+            if spec.key in text:
+                if spec.preamble is None:
+                    raise SourceError("not a workbook")
+                tables[spec.key] = scan_delimited(spark, [text[spec.key]], spec.preamble)
             if spec.key in tables:
                 facts = spec.harmonise(tables[spec.key], options)
             elif spec.key in files:
@@ -199,18 +260,24 @@ def parse_all(
             failed.append((spec.label, str(e)))
 
     try:
-        leads = _leads(grid, files, sheets)
+        leads, lead_rows_at = _leads(grid, on_grid, sheets)
         frames.append(_placed(leads, LEADS_LABEL, CRM_RANK))
     except SourceError as e:
         failed.append((LEADS_LABEL, str(e)))
 
     if not frames:
-        return Parsed(empty_facts(grid.sparkSession), failed, files)
+        return Parsed(empty_facts(spark), failed, files)
     tried = [s.label for s in specs] + [LEADS_LABEL]
     already = {label for label, _ in failed}
-    facts, more = gate(union_all(frames), [x for x in tried if x not in already])
+    left = [x for x in tried if x not in already]
+    facts, status, folder = staged_once(union_all(frames), left)
+    if lead_rows_at:
+        remove(spark, lead_rows_at)
+    more = verdicts(status, left)
+    bad = {label for label, _ in more}
+    facts = facts.filter(F.col("_source").isin([x for x in left if x not in bad]))
     order = {label: i for i, label in enumerate(tried)}
-    return Parsed(facts.drop(FAULT), sorted(failed + more, key=lambda f: order[f[0]]), files)
+    return Parsed(facts.drop(FAULT), sorted(failed + more, key=lambda f: order[f[0]]), files, folder)
 
 
 # The run ------------------------------------------------------------------------
@@ -246,18 +313,38 @@ def deduplicated(facts: DataFrame, run_date=None, **ad_options) -> DataFrame:
     )
 
 
+def archive_files(spark: SparkSession, parsed: Parsed, archive: str, labels: Mapping[str, str]) -> dict[str, str]:
+    """Move the files of sources that succeeded; a name that is taken gets a suffix.  New paths by source."""
+    failed = {label for label, _ in parsed.failed}
+    done = {k: p for k, p in parsed.files.items() if labels.get(k) not in failed and exists(spark, p)}
+    moved = {p: move(spark, p, archive) for p in sorted(set(done.values()))}
+    return {k: moved[p] for k, p in done.items()}
+
+
 def run(
     spark: SparkSession,
     table: str,
     grid: DataFrame,
     options: RunOptions | None = None,
     tables: Mapping[str, DataFrame] | None = None,
+    drop: str | None = None,
+    archive: str | None = None,
 ) -> dict:
-    """Parse, upsert, and report: failed sources, summary counts, change counts."""
+    """Parse, upsert, and report: failed sources, summary counts, change counts.
+
+    The parsed rows are staged once: gate, summary and upsert read them from there.  With
+    `archive`, files that were merged are moved there once the table has them.
+    """
     options = options or RunOptions()
-    parsed = parse_all(grid, options, tables=tables)
-    summary = run_summary(parsed.facts).first().asDict()
-    report = {"failed": parsed.failed, "files": parsed.files, **summary}
-    if summary["total_rows"]:
-        report.update(upsert(spark, table, deduplicated(parsed.facts, options.run_date)))
+    parsed = parse_all(grid, options, tables=tables, drop=drop)
+    try:
+        summary = run_summary(parsed.facts).first().asDict()
+        report = {"failed": parsed.failed, "files": parsed.files, **summary}
+        if summary["total_rows"]:
+            report.update(upsert(spark, table, deduplicated(parsed.facts, options.run_date)))
+    finally:
+        if parsed.folder:
+            remove(spark, parsed.folder)
+    if archive:
+        report["archived"] = archive_files(spark, parsed, archive, LABELS)
     return report

@@ -92,6 +92,29 @@ def _(t):
     )
 
 
+@query(
+    "a02_quoted_records",
+    f"""SELECT camp || chr(10) || '"' || brand || '", ' || chr(10) || chr(10) AS note, land, {sql_num('amount')} AS amount,
+ count(*) AS n FROM (SELECT coalesce(camp, '') AS camp, brand, coalesce(land, '') AS land, amount FROM ({EXP}))
+ GROUP BY 1, 2, 3""",
+)
+def _(t):
+    """Cells with line breaks, quotes and commas, in the preamble as well."""
+    folder = scratch(t.spark, "exports")
+    preamble = [f"report line {i}" for i in range(S.PREAMBLE_ROWS - 1)] + ['"over', 'two"', "note,land,amount"]
+    text = t.sql(EXPORT).withColumn(
+        "note", F.concat(F.coalesce("camp", F.lit("")), F.lit('\n""'), "brand", F.lit('"", \n\n'))
+    )
+    write_exports(text.select(csv_line("note", "land", "amount")), preamble, folder)
+    raw = scan_delimited(t.spark, [folder])
+    return (
+        raw.withColumn("amount", to_num(F.col("amount")))
+        .withColumn("land", F.coalesce("land", F.lit("")))
+        .groupBy("note", "land", "amount")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 # Every line item as a grid row.  Six sheets per file; a title row and a header row on
 # top of each, the header lying in row 1.
 SHEETS = """CASE line % 6 WHEN 1 THEN 'Summary' WHEN 2 THEN 'Raw export' WHEN 3 THEN 'my DATA'

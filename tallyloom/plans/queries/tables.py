@@ -6,6 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
+from tallyloom import settings as S
 from tallyloom.operators.counts import channel_summary
 from tallyloom.operators.order import total_order, union_all
 from tallyloom.plans.api_combine import combine
@@ -25,7 +26,8 @@ from tallyloom.plans.queries.base import (
     sql_num,
 )
 from tallyloom.plans.queries.frames import DEDUPED, FACTS, SHIFTED, deduped, next_month
-from tallyloom.plans.queries.sources import INSIGHTS_SQL, DAYS_SQL, RESPONSES, insights
+from tallyloom.plans.queries.reading import csv_line, write_exports
+from tallyloom.plans.queries.sources import DAYS_SQL, INSIGHTS_SQL, LAND, RESPONSES, insights
 from tallyloom.sources.api import read_insights
 from tallyloom.sources.grids import GRID_SCHEMA, land_grid, scan_grid
 from tallyloom.sources.storage import scratch
@@ -314,7 +316,11 @@ SELECT Date, Country, Channel, Campaign, NULL, NULL, NULL, NULL, QL, FT FROM ({L
 def _(t):
     parsed = parse_all(landed(t), OPTIONS)
     assert ("Douyin", "unreadable date") in parsed.failed
-    return parsed.facts.groupBy("Date", "Country", "Channel", "Campaign").agg(
+    return by_campaign(parsed.facts)
+
+
+def by_campaign(facts):
+    return facts.groupBy("Date", "Country", "Channel", "Campaign").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("Impressions").alias("shown"),
         F.sum("Clicks").alias("clicks"),
@@ -324,6 +330,25 @@ def _(t):
     )
 
 
+@query(
+    "s00_mixed_formats",
+    f"""SELECT Date, Country, Channel, Campaign, count(*) AS n, sum(i) AS shown, sum(c) AS clicks,
+ round(sum(s), 2) AS spend, CAST(sum(QL) AS BIGINT) AS ql, CAST(sum(FT) AS BIGINT) AS ft
+ FROM (SELECT * FROM ({RUN_FACTS}) UNION ALL
+  SELECT CAST(iso AS DATE), {LAND}, 'Apple Search Ads', brand || chr(10) || 'core', NULL, {IMP}, {CLK}, {AMT}, NULL, NULL
+  FROM ({EXP}) WHERE {LAND} IS NOT NULL) GROUP BY 1, 2, 3, 4""",
+)
+def _(t):
+    """A delimited export dropped beside the landed grids: the run finds and reads it itself."""
+    folder = scratch(t.spark, "drop")
+    preamble = [f"report line {i}" for i in range(S.PREAMBLE_ROWS)]
+    preamble.append("Day,Campaign Name,Country or Region,CR (Tap-Through),Spend,Impressions,Taps")
+    lines = t.sql(EXPORT).withColumns({"name": F.concat("brand", F.lit("\ncore")), "cr": F.lit("14%")})
+    cells = csv_line("iso", "name", "land", "cr", "amount", "imp", "clk")
+    write_exports(lines.select(cells), preamble, f"{folder}/Apple_010426.csv")
+    return by_campaign(parse_all(landed(t), OPTIONS, drop=folder).facts)
+
+
 # After deduplication by the key of the row's type: lead rows are those without both
 # impressions and spend.
 RUN_DEDUPED = f"""

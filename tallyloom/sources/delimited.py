@@ -1,28 +1,37 @@
-"""Delimited text with preamble lines before the header."""
+"""Delimited text with preamble lines before the header; quoted cells may hold line breaks.
+
+Which lines begin a record depends on all quotes before them in the file.  Each line turns
+one state into another: between records, or inside a quoted cell.  Lines are taken in
+order within their split, splits by what they do to the state as a whole.
+"""
 
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom import settings as S
+from tallyloom.schema import SourceError
 from tallyloom.sources.grids import by_name, unique_headers, with_names
+from tallyloom.sources.storage import scratch
 
-_UNIT = 1 << 20  # bytes; file splits are larger than this
+_UNIT = 1 << 16  # bytes; file splits are larger than this
+_BITS = 31  # of a line number, for the place among the lines of a task
 
 
 def line_number() -> Column:
     """Number that grows with the line's place in its file.
 
-    The split's start (in MiB) comes first, then the line's place in the
+    The split's start (in units of 64 KiB) comes first, then the line's place in the
     task that reads the split.  Needs no sort and no second pass; numbers have gaps.
     """
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _BITS) - 1))
     start = F.floor(F.col("_metadata.file_block_start") / F.lit(_UNIT)).cast("bigint")
-    return F.shiftleft(start, 33) + place
+    return F.shiftleft(start, _BITS) + place
 
 
 def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -54,15 +63,130 @@ def decoded_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return joined.select("_path", "_row_no", text.alias("value"))
 
 
-def _header_lines(lines: DataFrame, skip: int) -> DataFrame:
-    """(path, header_row, header) of each file: its first filled line after the preamble.
+def _staged(df: DataFrame, what: str) -> DataFrame:
+    """df written to a folder of its own and read again, as several steps need it."""
+    folder = scratch(df.sparkSession, what)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _ends_inside(value: Column, sep: str) -> tuple[Column, Column]:
+    """Whether a line that begins between records, or inside a quoted cell, ends inside one.
+
+    A cell is quoted if it begins with a quote; inside, a doubled quote stands for one.
+    """
+    other = rf"[^\x{ord(sep):02x}]"
+    quoted = r'[^"]*+(?:""[^"]*+)*+"' + other + "*+"
+    cell = rf'(?:"{quoted}|[^"\x{ord(sep):02x}]{other}*+|)'
+    more = rf"(?:\x{ord(sep):02x}{cell})*+\z"
+    plain = ~value.contains('"')
+    from_outside = F.when(plain, F.lit(False)).otherwise(~value.rlike(rf"\A{cell}{more}"))
+    from_inside = F.when(plain, F.lit(True)).otherwise(~value.rlike(rf"\A{quoted}{more}"))
+    return from_outside, from_inside
+
+
+def _carried(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+    """Add what all rows up to and with this one do to the state, and what those before do.
+
+    A row either sets the state (`_sets`, NULL if not) or may turn it over (`_turns`, 0 or
+    1); so do rows in a row: the last one that sets it counts, and the turns since.
+    """
+    line = Window.partitionBy(*by).orderBy(order)
+    sofar = line.rowsBetween(Window.unboundedPreceding, 0)
+    turns = F.sum("_turns").over(sofar)
+    df = df.withColumn("_t", turns).withColumn(
+        "_last", F.last(F.when(F.col("_sets").isNotNull(), F.struct("_sets", "_t")), ignorenulls=True).over(sofar)
+    )
+    odd = F.pmod(F.col("_t") - F.coalesce(F.col("_last._t"), F.lit(0)), F.lit(2))
+    state = F.struct((F.col("_last._sets") != (odd == 1)).alias("sets"), odd.alias("turns"))
+    df = df.withColumn("_after", state)
+    return df.withColumn("_before", F.lag("_after").over(line)).drop("_t", "_last")
+
+
+def _applied(change: Column, state: Column) -> Column:
+    """The state after a change."""
+    return F.coalesce(change["sets"], state != (F.coalesce(change["turns"], F.lit(0)) == 1))
+
+
+def _assembled(lines: DataFrame, sep: str) -> DataFrame:
+    """(path, number, nth, value) of records; those of several lines have them joined.
 
-    Two aggregates and no sort; any number of blank lines may stand before the header.
-    The preamble lies in the file's first split, whose lines are numbered without gaps.
+    Windows stay inside one split of a file; a row per split carries the state across.
     """
-    first = lines.groupBy("_path").agg(F.min("_row_no").alias("_first"))
-    filled = lines.filter(F.trim("value") != "").join(first, "_path")
-    return filled.filter(F.col("_row_no") >= F.col("_first") + skip).groupBy("_path").agg(
+    block = F.shiftright("_row_no", _BITS)
+    outside, inside = _ends_inside(F.col("value"), sep)
+    rows = lines.withColumns({"_block": block, "_o": outside, "_i": inside})
+    rows = rows.withColumns(
+        {
+            "_sets": F.when(F.col("_o") == F.col("_i"), F.col("_o")),
+            "_turns": (F.col("_o") & ~F.col("_i")).cast("int"),
+        }
+    ).drop("_o", "_i")
+    split = ["_path", "_block"]
+    rows = _staged(_carried(rows, split, "_row_no").drop("_sets", "_turns"), "lines")
+
+    splits = rows.groupBy(*split).agg(F.max_by("_after", "_row_no").alias("_all"))
+    splits = splits.select(*split, F.col("_all.sets").alias("_sets"), F.col("_all.turns").alias("_turns"))
+    splits = _carried(splits, ["_path"], "_block")
+    at_start = F.lit(False)
+    ends = splits.select("_path", "_block", _applied(F.col("_after"), at_start).alias("_open"))
+    never = ends.groupBy("_path").agg(F.max_by("_open", "_block").alias("_open")).filter("_open").first()
+    if never:
+        raise SourceError(f"a quoted cell is never closed in {never._path.rsplit('/', 1)[-1]}")
+    begins = splits.select(*split, _applied(F.col("_before"), at_start).alias("_begin"))
+    rows = rows.join(begins, split)
+    rows = rows.withColumn("_first", ~_applied(F.col("_before"), F.col("_begin"))).drop("_after", "_before", "_begin")
+
+    line = Window.partitionBy(*split).orderBy("_row_no").rowsBetween(Window.unboundedPreceding, 0)
+    own = F.when(F.col("_first"), F.col("_row_no"))
+    rows = _staged(rows.withColumns({"_record": F.max(own).over(line), "_nth": F.count(own).over(line)}), "records")
+    held = rows.groupBy(*split).agg(F.max("_record").alias("_last"), F.max("_nth").alias("_held"))
+    earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select(
+        *split, F.max("_last").over(earlier).alias("_running"), F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_passed")
+    )
+    rows = rows.join(held, split).withColumn("_record", F.coalesce("_record", "_running"))
+    rest = rows.filter(~F.col("_first")).groupBy("_path", "_record")
+    rest = rest.agg(F.array_sort(F.collect_list(F.struct("_row_no", "value"))).alias("_rest"))
+    heads = rows.filter("_first").drop("_record", "_first").join(
+        rest.withColumnsRenamed({"_path": "_p", "_record": "_r"}), (F.col("_path") == F.col("_p")) & (F.col("_row_no") == F.col("_r")), "left"
+    )
+    whole = F.when(F.col("_rest").isNull(), F.col("value")).otherwise(
+        F.concat_ws("\n", F.col("value"), F.col("_rest.value"))
+    )
+    return heads.select("_path", "_row_no", (F.col("_passed") + F.col("_nth") - 1).alias("_nth"), whole.alias("value"))
+
+
+def read_records(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> DataFrame:
+    """Records with file, number, place in the file (`_nth`, from 0) and text.
+
+    Files in which every line is a record by itself (none ends inside a quoted cell) are
+    numbered without sorting them; the others' lines are put together.
+    """
+    lines = decoded_lines(spark, paths)
+    block = F.shiftright("_row_no", _BITS).alias("_block")
+    splits = lines.groupBy("_path", block).agg(
+        F.min("_row_no").alias("_top"), F.count(F.lit(1)).alias("_n"), F.max(_ends_inside(F.col("value"), sep)[0]).alias("_opens")
+    )
+    file, earlier = Window.partitionBy("_path"), Window.partitionBy("_path").orderBy("_block")
+    passed = F.coalesce(F.sum("_n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.select("_path", "_block", "_top", passed.alias("_passed"), F.max("_opens").over(file).alias("_opens"))
+    splits = _staged(splits, "splits")  # one row per split
+    plain = lines.withColumn("_block", block).join(splits.filter("NOT _opens"), ["_path", "_block"])
+    plain = plain.select("_path", "_row_no", (F.col("_passed") + F.col("_row_no") - F.col("_top")).alias("_nth"), "value")
+    opened = splits.filter("_opens").select("_path").distinct()
+    if opened.isEmpty():
+        return plain
+    return plain.unionByName(_assembled(lines.join(opened, "_path"), sep))
+
+
+def _header_lines(records: DataFrame, skip: int) -> DataFrame:
+    """(path, header_row, header) of each file: its first filled record after the preamble.
+
+    One aggregate and no sort; any number of blank lines may stand before the header.
+    """
+    filled = records.filter((F.col("_nth") >= skip) & (F.trim("value") != ""))
+    return filled.groupBy("_path").agg(
         F.min("_row_no").alias("header_row"),
         F.min_by("value", "_row_no").alias("header"),
     )
@@ -74,23 +198,22 @@ def scan_delimited(
     skip: int = S.PREAMBLE_ROWS,
     sep: str = ",",
 ) -> DataFrame:
-    """Raw text table of files of any number of layouts, columns by name; lines are parsed once."""
-    lines = decoded_lines(spark, paths)
-    names_of = lambda header: unique_headers(next(csv.reader([header], delimiter=sep)))
-    heads = _header_lines(lines, skip).persist()
-    try:
-        named, labels = with_names(heads, names_of)
-        widest = named.agg(F.max(F.size("_names"))).first()[0]
-    finally:
-        heads.unpersist()
+    """Raw text table of files of any number of layouts, columns by name; records are parsed once.
+
+    A file whose last quoted cell is never closed is refused, as its records can't be told.
+    A carriage return before a line break inside a cell is dropped.
+    """
+    lines = read_records(spark, paths, sep)
+    names_of = lambda header: unique_headers(next(csv.reader(io.StringIO(header, newline=""), delimiter=sep)))
+    named, labels, widest = with_names(_header_lines(lines, skip), names_of)
     body = lines.join(named, "_path").filter(
         (F.col("_row_no") > F.col("header_row")) & (F.trim("value") != "")
     )
     schema = ", ".join(f"c{i} STRING" for i in range(widest))
-    parsed = body.select(F.from_csv("value", schema, {"sep": sep}).alias("_r"), "_path", "_row_no", "_names")
+    parsed = body.select(F.from_csv("value", schema, {"sep": sep, "escape": '"'}).alias("_r"), "_path", "_row_no", "_places")
     cells = F.array(*[F.col(f"_r.c{i}") for i in range(widest)])
     return parsed.select(
-        *[by_name(cells, n).alias(n) for n in labels],
+        *[by_name(cells, i).alias(n) for i, n in enumerate(labels)],
         "_path",
         F.lit("").alias("_sheet"),
         F.lit(1).alias("_sheet_no"),

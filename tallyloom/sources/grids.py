@@ -7,6 +7,7 @@ unique in a sheet and grows downwards.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
@@ -185,30 +186,42 @@ def table_below(grid: DataFrame, path: str, sheet: str, header_row: int, header)
     return named_cells(body, header)
 
 
-def with_names(heads: DataFrame, names_of: Callable) -> tuple[DataFrame, list[str]]:
-    """Heads with the column names of their header, and all the names there are.
+def tables_of_layout(grid: DataFrame, sheets: Sequence[tuple[str, str, int]], header) -> DataFrame:
+    """Raw table of all (path, sheet, header_row) that share a header: one scan, no join."""
+    below = [
+        (F.col("path") == path) & (F.col("sheet") == sheet) & (F.col("row_no") > top)
+        for path, sheet, top in sheets
+    ]
+    return named_cells(grid.filter(reduce(lambda a, b: a | b, below)), header)
+
 
-    The driver sees the different header rows, nothing else; how many there are does not
-    change the plan.
+def with_names(heads: DataFrame, names_of: Callable) -> tuple[DataFrame, list[str], int]:
+    """Heads with `_places`, all the names there are, and the most cells a header has.
+
+    `_places` holds the place of each of the names in the head's own layout (case ignored),
+    NULL where it has none: found once per layout, not for each row.  The driver sees the
+    different header rows, nothing else; how many there are does not change the plan.
     """
     layouts = [(r.header, names_of(r.header)) for r in heads.select("header").distinct().collect()]
     if not layouts:
         raise SourceError("no header row")
-    kind = heads.schema["header"].dataType.simpleString()
-    known = heads.sparkSession.createDataFrame(layouts, f"_header {kind}, _names array<string>")
-    named = heads.join(known, F.col("header") == F.col("_header")).drop("header", "_header")
-    seen: dict[str, str] = {}
+    labels: dict[str, str] = {}
     for _, names in sorted(layouts, key=lambda x: x[1]):
         for n in names:
-            seen.setdefault(n.lower(), n)
-    return named, list(seen.values())
+            labels.setdefault(n.lower(), n)
+    placed = []
+    for header, names in layouts:
+        at = {n.lower(): i for i, n in reversed(list(enumerate(names)))}
+        placed.append((header, [at.get(low) for low in labels]))
+    kind = heads.schema["header"].dataType.simpleString()
+    known = heads.sparkSession.createDataFrame(placed, f"_header {kind}, _places array<int>")
+    named = heads.join(known, F.col("header") == F.col("_header")).drop("header", "_header")
+    return named, list(labels.values()), max(len(names) for _, names in layouts)
 
 
-def by_name(cells: Column, label: str) -> Column:
-    """The cell below the header `label` (case ignored), NULL in a layout without it."""
-    low = F.transform("_names", lambda x: F.lower(x))
-    at = F.array_position(low, label.lower())
-    return F.get(cells, (at - 1).cast("int"))
+def by_name(cells: Column, nth: int) -> Column:
+    """The cell of the nth name of all, NULL in a layout without it."""
+    return F.get(cells, F.get("_places", F.lit(nth)))
 
 
 def tables_below(grid: DataFrame, heads: DataFrame) -> DataFrame:
@@ -217,10 +230,10 @@ def tables_below(grid: DataFrame, heads: DataFrame) -> DataFrame:
     The sheets are read once, whatever the number of layouts.  Whether the sheet list is
     broadcast is left to adaptive execution.
     """
-    named, labels = with_names(heads.filter(F.col("header_row").isNotNull()), unique_headers)
-    rows = grid.join(named.select(*SHEET, "header_row", "_names"), list(SHEET))
+    named, labels, _ = with_names(heads.filter(F.col("header_row").isNotNull()), unique_headers)
+    rows = grid.join(named.select(*SHEET, "header_row", "_places"), list(SHEET))
     return rows.filter(F.col("row_no") > F.col("header_row")).select(
-        *[by_name(F.col("cells"), n).alias(n) for n in labels],
+        *[by_name(F.col("cells"), i).alias(n) for i, n in enumerate(labels)],
         F.col("path").alias("_path"),
         F.col("sheet").alias("_sheet"),
         F.col("sheet_no").alias("_sheet_no"),

@@ -23,6 +23,7 @@ class SourceSpec:
     header     predicate on a grid row: this is the header
     sheet      which sheet to read; `fallback` if none fits, all fitting ones if `many`
     daily      reader for the fallback sheet, where its layout is another one
+    preamble   lines above the header of a delimited export; None where only workbooks are read
     """
 
     label: str
@@ -33,6 +34,7 @@ class SourceSpec:
     fallback: G.SheetRule = G.any_sheet
     many: bool = False
     daily: Callable[[DataFrame, RunOptions], DataFrame] | None = None
+    preamble: int | None = None
 
     def reader(self, sheets) -> Callable[[DataFrame, RunOptions], DataFrame]:
         """Reader for the sheets chosen in one workbook."""
@@ -69,7 +71,7 @@ SOURCES = (
         fallback=G.no_sheet,
         many=True,
     ),
-    SourceSpec("Apple Search Ads", "apple", ads.apple, header=_below_preamble),
+    SourceSpec("Apple Search Ads", "apple", ads.apple, header=_below_preamble, preamble=S.PREAMBLE_ROWS),
     SourceSpec(
         "TikTok",
         "tiktok",
@@ -86,6 +88,8 @@ SOURCES = (
 )
 
 LEADS_LABEL = "QL/FT (CRM)"
+LEAD_KEYS = ("ql", "ft")
+LABELS = {s.key: s.label for s in SOURCES} | dict.fromkeys(LEAD_KEYS, LEADS_LABEL)
 
 
 def lead_header() -> Column:

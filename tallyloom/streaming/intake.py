@@ -22,10 +22,8 @@ from tallyloom.plans.batch import run
 from tallyloom.settings import RunOptions
 from tallyloom.sources.files import base_name, name_day, sources_of
 from tallyloom.sources.grids import GRID_SCHEMA
-from tallyloom.sources.registry import LEADS_LABEL, SOURCES
+from tallyloom.sources.registry import LABELS, LEAD_KEYS
 
-LEAD_KEYS = ("ql", "ft")
-LABELS = {s.key: s.label for s in SOURCES} | dict.fromkeys(LEAD_KEYS, LEADS_LABEL)
 _WAITING = T.StructType([*GRID_SCHEMA.fields, T.StructField("batch", T.LongType())])
 _DONE = "path string, source string, batch long"
 

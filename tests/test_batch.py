@@ -4,14 +4,14 @@ import json
 import pytest
 
 from conftest import rows
-from tallyloom.operators.counts import profile
+from tallyloom.operators.counts import profile, run_summary
 from tallyloom.plans.api_combine import combine
 from tallyloom.plans.batch import deduplicated, parse_all, run
 from tallyloom.settings import LEAD_COLUMNS, RunOptions
 from tallyloom.sources.files import list_files, newest_files
 from tallyloom.sources.grids import GRID_SCHEMA
 from tallyloom.sources.registry import LEADS_LABEL, SOURCES
-from tallyloom.sources.tables import read_facts
+from tallyloom.sources.tables import read_facts, upsert
 from tallyloom.streaming.intake import intake
 
 ISO = "2026-04-01"
@@ -123,6 +123,58 @@ def test_union_keeps_every_row_and_lead_totals_survive_dedup(grid):
     assert leads(parsed.facts) == leads(facts)
 
 
+def test_rows_are_parsed_once(grid, spark, tmp_path):
+    """Gate, summary and upsert read what one job parsed: a reader sees each row once."""
+    import dataclasses
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(raw, options):
+        def passing(batches):
+            for b in batches:
+                read.add(b.num_rows)
+                yield b
+
+        return spec.harmonise(raw.mapInArrow(passing, raw.schema), options)
+
+    (spec,) = [s for s in SOURCES if s.key == "douyin"]
+    parsed = parse_all(grid(workbook()), OPTIONS, specs=[dataclasses.replace(spec, harmonise=counted)])
+    assert run_summary(parsed.facts).first().total_rows == 2  # one of Douyin, one of the leads
+    assert upsert(spark, str(tmp_path / "t"), deduplicated(parsed.facts, OPTIONS.run_date))["inserted"] == 2
+    assert read.value == 1
+
+
+def test_headers_far_down_are_found(grid):
+    far = [[f"note {i}"] for i in range(200)] + BING[1:] + [BING_ROW]
+    parsed = parse_all(grid({("Bing_010426.xlsx", "S"): far}), OPTIONS)
+    assert parsed.facts.count() == 1 and ("Bing", "no header row") not in parsed.failed
+
+
+def test_run_finds_delimited_exports_and_archives_what_it_merged(grid, spark, tmp_path):
+    drop, archive = tmp_path / "drop", tmp_path / "archive"
+    drop.mkdir()
+    archive.mkdir()
+    top = "".join(f"line {i}\n" for i in range(6)) + "Day,Campaign Name,Country or Region,CR (Tap-Through),Spend,Impressions,Taps\n"
+    (drop / "Apple_020426.csv").write_text(top + f'{ISO},"c,\nd",Taiwan,14%,1,4,2\n')
+    (drop / "Apple_311225.csv").write_text("older")
+    (archive / "Apple_020426.csv").write_text("of last month")
+    (drop / "Meta_020426.csv").write_text("Campaign name,Day\nm,2026-04-01\n")
+    (drop / "Bing_010426.xlsx").write_text("landed as grid")
+    (drop / "Douyin_010426.xlsx").write_text("landed as grid")
+    book = {
+        (f"{drop}/Bing_010426.xlsx", "S"): [*BING, BING_ROW],
+        (f"{drop}/Douyin_010426.xlsx", "Daily"): [["Date"], [ISO]],
+        ("Apple_010426.xlsx", "S"): [["x"]],
+    }
+    report = run(spark, str(tmp_path / "t"), grid(book), OPTIONS, drop=str(drop), archive=str(archive))
+    assert report["total_rows"] == 2 and dict(report["failed"])["Meta"] == "not a workbook"
+    got = rows(read_facts(spark, str(tmp_path / "t")), "Channel", "Campaign")
+    assert got == [("Apple Search Ads", "c,\nd"), ("Bing - Brand", "HK Brand")]
+    assert {k: v.rsplit("/", 1)[1] for k, v in report["archived"].items()} == {"apple": "Apple_020426_1.csv", "bing": "Bing_010426.xlsx"}
+    assert sorted(f.name for f in drop.iterdir() if not f.name.startswith(".")) == ["Apple_311225.csv", "Douyin_010426.xlsx", "Meta_020426.csv"]
+    assert sorted(f.name for f in archive.iterdir() if not f.name.startswith(".")) == ["Apple_020426.csv", "Apple_020426_1.csv", "Bing_010426.xlsx"]
+
+
 def test_empty_drop(spark):
     parsed = parse_all(spark.createDataFrame([], GRID_SCHEMA), OPTIONS)
     assert parsed.facts.count() == 0 and len(parsed.failed) == len(SOURCES) + 1
@@ -171,7 +223,7 @@ def test_stream_keeps_what_it_could_not_merge(grid, spark, tmp_path):
     bing = {("Bing_020426.xlsx", "S"): later, ("Bing_010426.xlsx", "S"): [*BING, BING_ROW], ("Bing_030426.xlsx", "S"): soon}
     failed = go(bing | {("QL_010426.xlsx", "S"): book["QL_010426.xlsx", "S"]})
     assert failed["Bing"] == "unreadable date" and failed[LEADS_LABEL] == "FT_ file missing"
-    assert [r[0] for r in rows(read_facts(spark, table), "Date")] == [dt.date(2026, 4, 1), dt.date(2026, 4, 2)]
+    assert sorted(r[0] for r in rows(read_facts(spark, table), "Date")) == [dt.date(2026, 4, 1), dt.date(2026, 4, 2)]
     mended = [*BING, [*BING_ROW[:3], "2026-04-03", *BING_ROW[4:]]]
     failed = go({("FT_010426.xlsx", "S"): book["FT_010426.xlsx", "S"], ("Bing_030426.xlsx", "S"): mended})
     assert "Bing" not in failed and LEADS_LABEL not in failed

@@ -60,6 +60,58 @@ def test_line_numbers_follow_the_file_across_splits(spark, tmp_path):
         assert len({n for n, _ in got[name]}) == size
 
 
+def parsed_by_csv(text, skip):
+    """Rows of the standard library's reader below the preamble, blank records left out."""
+    import csv
+    import io
+
+    csv.field_size_limit(1 << 30)
+    records = [r for r in csv.reader(io.StringIO(text, newline="")) if r]
+    head, *body = records[skip:]
+    return [tuple((r + [None] * len(head))[: len(head)]) for r in body]
+
+
+@pytest.fixture
+def small_splits(spark):
+    settings = {"spark.sql.files.maxPartitionBytes": "1m", "spark.sql.files.openCostInBytes": "1k"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k in settings:
+        spark.conf.unset(k)
+
+
+def test_quoted_line_breaks_across_splits(spark, tmp_path, small_splits):
+    import random
+
+    rng = random.Random(4)
+    word = lambda: rng.choice(["a", "b c", '5" nail', "x,y", "", "two\nlines", '"quoted"\n\nand, more', "\n"])
+    cell = lambda w: '"' + w.replace('"', '""') + '"' if any(c in w for c in ',\n') or w.startswith('"') else w
+    top = "".join(f"line {i}\n" for i in range(5)) + '"a preamble cell\nover two lines"\n'
+    rows_of = ["k,v,w"] + [f"{i},{cell(word())},{cell(word())}" for i in range(60_000)]
+    rows_of[30_000] = '29999,"' + "long\n" * 400_000 + '",x'  # one cell over more than a split
+    text = top + "\n".join(rows_of) + "\n"
+    (tmp_path / "big.csv").write_text(text)
+    (tmp_path / "plain.csv").write_text(TOP + "w,k\n5\" nail,-1\n")
+    got = scan_delimited(spark, [str(tmp_path)])
+    assert read_lines(spark, [str(tmp_path / "big.csv")]).rdd.getNumPartitions() > 3
+    want = [(k, v or None, w or None) for k, v, w in parsed_by_csv(text, 6)]
+    assert sorted(rows(got.filter("k >= 0"), "k", "v", "w"), key=lambda r: int(r[0])) == want
+    assert rows(got.filter("k < 0"), "k", "v", "w") == [("-1", None, '5" nail')]
+
+
+def test_preamble_over_several_splits(spark, tmp_path, small_splits):
+    (tmp_path / "a.csv").write_text(("p" * 1000 + "\n") * 3000 + "x\n1\n")
+    assert rows(scan_delimited(spark, [str(tmp_path)], skip=3000), "x") == [("1",)]
+    assert rows(scan_delimited(spark, [str(tmp_path)], skip=2999), "p" * 1000) == [("x",), ("1",)]
+
+
+def test_a_cell_that_is_never_closed_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(TOP + 'x,y\n1,"2\n3,4\n')
+    with pytest.raises(SourceError, match="never closed in a.csv"):
+        scan_delimited(spark, [str(tmp_path)])
+
+
 def test_delimited_export_joins_a_run(spark, grid, tmp_path):
     f = tmp_path / "Apple_010426.csv"
     f.write_text(TOP + HEAD + "2026-04-01,c,Taiwan,14%,1,4,2\n2026-04-01,c,Japan,14%,1,4,2\n")
