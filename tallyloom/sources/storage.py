@@ -59,6 +59,14 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, over one of that name."""
+    fs, p = _path(spark, path)
+    stream = fs.create(p, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
 def publish_text(spark: SparkSession, path: str, text: str) -> bool:
     """Put a small file in place whole, by one step; False if there is one of that name."""
     jvm = spark._jvm

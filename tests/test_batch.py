@@ -232,6 +232,28 @@ def test_stream_keeps_what_it_could_not_merge(grid, spark, tmp_path):
     assert facts.filter("Channel = 'Bing - Brand'").count() == 3
 
 
+def test_a_micro_batch_costs_what_waits_not_what_was_ever_dropped(grid, spark, tmp_path):
+    from tallyloom.streaming.intake import read_ledger
+
+    drop, table, folder = str(tmp_path / "drop"), str(tmp_path / "table"), tmp_path / "c_waiting"
+    waiting = {("QL_010426.xlsx", "S"): workbook()["QL_010426.xlsx", "S"]}
+    sizes = []
+    for day in range(1, 5):
+        bing = {(f"{tmp_path}/Bing_0{day}0426.xlsx", "S"): [*BING, [*BING_ROW[:3], f"2026-04-0{day}", *BING_ROW[4:]]]}
+        (tmp_path / f"Bing_0{day}0426.xlsx").write_text("export")
+        grid(bing | (waiting if day == 1 else {})).coalesce(1).write.mode("append").parquet(drop)
+        stream = intake(spark, drop, table, str(tmp_path / "c"), str(tmp_path / "archive"), OPTIONS)
+        stream.awaitTermination()
+        sizes.append((sorted(p.name for p in (folder / "rows").iterdir()), [f.path for f in read_ledger(spark, str(folder), day - 1)]))
+    lead = ["QL_010426.xlsx"]  # waits for its partner from the first micro-batch on
+    assert sizes == [(["batch=0"], lead)] + [(["batch=0", f"batch={n}"], lead) for n in (1, 2, 3)]
+    assert len([p for p in (folder / "ledger").iterdir() if not p.name.startswith(".")]) == 2
+    assert read_facts(spark, table).count() == 4
+    moved = {p.name for p in (tmp_path / "archive").iterdir()}
+    assert moved >= {f"Bing_0{day}0426.xlsx" for day in range(1, 5)}
+    assert not list(tmp_path.glob("Bing_*.xlsx"))
+
+
 def test_api_combine(spark):
     doc = {"data": {"advertisable": {"byEID": {"campaigns": [
         {"name": "APAC_Taiwan_x", "metrics": {"byDate": [{"date": ISO, "impressions": 5, "cost": 1.5}]}}]}}}}
