@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,74 +11,77 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import batches, kept_in_worker, running_totals, table, written
-from tallyloom.llm.pieces import PieceMemo, load
+from tallyloom.llm.common import batches, running_totals, table, written
+from tallyloom.llm.ids import ids_of
 
-# The word-end splitter's pattern and the id that closes a document.
-SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
-END_ID = 1
-IDS = "H"  # how ids are held: the vocabulary has less than 65,536; array() refuses larger ones
+END_ID = 1  # closes a document
+LEAST_SLICE = 64  # tokens: a source whose share of a sequence is less sends so many in some rounds
 BLOCK_DOCS = 2048  # about so many documents make a block of a queue's running total
 BLOCK_ROUNDS = 64  # so many rounds make a block of the stream's running total
+LATE = 1 << 35  # rounds of sources without weight: behind all others
 
 
 def token_ids(docs: DataFrame, path: str, source: str = "source") -> DataFrame:
-    """(doc_id, source, ids, doc_tokens): each text's ids as little-endian 16-bit numbers, END_ID last.
-
-    The tokenizer drops white space and never joins over it, so words are encoded by themselves.
-    """
+    """(doc_id, source, ids, doc_tokens): each text's ids as little-endian 16-bit numbers, END_ID last."""
     out = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("ids", pa.binary()), ("doc_tokens", pa.int64())])
 
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def make() -> PieceMemo:
-            tokenizer = load(path)
-            return PieceMemo(SPLIT, lambda pieces: [array(IDS, e.ids).tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)], b"".join, lower=True)
-
-        memo, end = kept_in_worker(f"ids of {path}", make), array(IDS, [END_ID]).tobytes()
-
-        def of(batch: pa.RecordBatch) -> list:
-            ids = []
-            for start in range(0, batch.num_rows, 256):
-                # bytes.split() parts at ASCII white space alone; any other is left to the tokenizer
-                cut = [(x or b"").split() for x in batch.column("text").slice(start, 256).cast(pa.binary()).to_pylist()]
-                memo.fill(set().union(*cut))
-                ids += [b"".join(map(memo.__getitem__, c)) + end for c in cut]
-            return [batch.column("doc_id"), batch.column("source"), ids, [len(x) // 2 for x in ids]]
-
-        return batches(rows, out, of)
-
-    kept = docs.select(F.col("doc_id"), F.col("text"), F.col(source).cast("string").alias("source"))
+        encoder, end = ids_of(path, folds=True), np.array([END_ID], "<u2").tobytes()
+        if encoder.code != "H":
+            raise ValueError("the vocabulary has more than 65,536 ids")
+        for batch in rows:
+            row = 0
+            for ids, lengths in encoder(batch.column("text")):
+                held, at = memoryview(ids.astype("<u2").tobytes()), 0
+                found = []
+                for n in lengths.tolist():
+                    found.append(bytes(held[2 * at : 2 * (at + n)]) + end)
+                    at += n
+                columns = [batch.column(c).slice(row, len(found)) for c in ("doc_id", "source")]
+                row += len(found)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.binary()), pa.array(lengths + 1)], schema=out)
+
+    kept = docs.select(F.col("doc_id").cast("long"), F.col("text"), F.col(source).cast("string").alias("source"))
     return kept.mapInArrow(encode, "doc_id long, source string, ids binary, doc_tokens long")
 
 
 def pack(docs: DataFrame, path: str, size: int = 2048, weights: dict[str, float] | None = None, source: str = "source") -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source, row_id) per piece.
 
-    Deficit round-robin: in each round a source's queue earns size * share tokens of credit
-    and sends the packets (a document, or its next `size` ids) that its credit covers; what
-    is left is carried to the next round.  A packet's round therefore follows from the
-    tokens before it in its queue, so no state has to pass from task to task.  The stream,
-    ordered by round, source and queue, is cut every `size` ids: all sequences but the last
-    are full.  shares: each source's part of all tokens, or `weights` by source (others 1);
-    when a queue runs dry, those left share the windows in the same proportions.
+    Deficit round-robin: in each round a source's queue of documents earns size * share
+    tokens of credit and sends them, cutting documents where the credit ends; a source that
+    earns less than LEAST_SLICE a round saves until it can send that many.  What a round
+    leaves of a token is carried to the next.  The round of each slice follows from its
+    place in its queue, so no state has to pass from task to task.  The stream, ordered by
+    round, source and queue, is cut every `size` ids: all sequences but the last are full,
+    and each holds its sources' shares to within a slice.
+
+    shares: each source's part of all tokens, or `weights` by source (others 1); when a
+    queue runs dry, those left share the sequences in the same proportions.  Sources of
+    weight 0 come behind all others, in equal parts; a negative weight is refused.
 
     A null or empty text is END_ID alone; a null source is a queue of its own; repeated rows
-    and null ids are packed row by row (row_id tells them apart); other columns aren't read.
-    An empty table gives no pieces.  The order within a queue is that of hashed row ids.
+    and null ids are packed row by row (row_id tells them apart); other columns aren't read,
+    but there must be a source column.  An empty table gives no pieces.  The order within a
+    queue is that of hashed row ids.
     """
+    if weights and min(weights.values()) < 0:
+        raise ValueError("weights can't be negative")
     spark = docs.sparkSession
     held = written(token_ids(docs, path, source).withColumn("row_id", F.monotonically_increasing_id()), "token-ids")
     narrow = held.select("row_id", "source", "doc_tokens")
     totals = narrow.groupBy("source").agg(F.sum("doc_tokens").alias("queue_tokens"), F.count("*").alias("queue_docs"))
     if weights:
-        weight = F.coalesce(F.create_map(*[F.lit(x) for kv in weights.items() for x in kv])[F.col("source")], F.lit(1.0))
+        weight = F.coalesce(F.create_map(*[F.lit(x) for k, v in weights.items() for x in (k, float(v))])[F.col("source")], F.lit(1.0))
         totals = totals.withColumn("weight", weight)
     else:
         totals = totals.withColumn("weight", F.col("queue_tokens").cast("double"))
-    all_weight = totals.agg(F.sum("weight").alias("all_weight"))
-    totals = totals.join(F.broadcast(all_weight)).select(
-        F.col("source").alias("_source"), (F.col("weight") * size / F.col("all_weight")).alias("quantum"), (F.floor(F.col("queue_docs") / BLOCK_DOCS) + 1).alias("blocks")
-    )
+    every = totals.agg(F.sum("weight").alias("all_weight"), F.count_if(F.col("weight") == 0).alias("none"))
+    quantum = F.when(F.col("weight") > 0, F.col("weight") * size / F.col("all_weight")).otherwise(F.lit(float(size)) / F.col("none"))
+    totals = totals.join(F.broadcast(every)).select(
+        F.col("source").alias("_source"), quantum.alias("quantum"), F.greatest(quantum, F.lit(float(min(LEAST_SLICE, size)))).alias("slice"),
+        F.when(F.col("weight") > 0, F.lit(0)).otherwise(F.lit(LATE)).alias("late"), (F.floor(F.col("queue_docs") / BLOCK_DOCS) + 1).alias("blocks"),
+    )
     queued = narrow.join(totals, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     place = F.xxhash64("row_id")
     queued = queued.withColumn("place", place).withColumn("block", F.pmod("place", "blocks").cast("long"))
@@ -88,11 +90,19 @@ def pack(docs: DataFrame, path: str, size: int = 2048, weights: dict[str, float]
     line = Window.partitionBy("source", "block").orderBy("place", "row_id").rowsBetween(Window.unboundedPreceding, -1)
     queued = queued.withColumn("queue_start", F.col("block_start") + F.coalesce(F.sum("doc_tokens").over(line), F.lit(0)))
 
-    starts = F.sequence(F.lit(0).cast("long"), F.col("doc_tokens") - 1, F.lit(size).cast("long"))
-    packets = queued.select("row_id", "source", "place", "quantum", "queue_start", "doc_tokens", F.explode(starts).alias("start"))
-    packets = packets.withColumn("length", F.least(F.lit(size).cast("long"), F.col("doc_tokens") - F.col("start")))
-    packets = packets.withColumn("round", F.ceil((F.col("queue_start") + F.col("start") + F.col("length")) / F.col("quantum")).cast("long"))
-    packets = packets.withColumn("block", F.floor(F.col("round") / BLOCK_ROUNDS).cast("long")).drop("quantum", "queue_start", "doc_tokens")
+    # Slice k of a queue holds its tokens from floor(k * slice) on.
+    first = lambda k: F.floor(k * F.col("slice")).cast("long")
+    near = lambda at: F.floor(at / F.col("slice")).cast("long")
+    holding = lambda at: near(at) + F.when(first(near(at) + 1) <= at, 1).otherwise(0) - F.when(first(near(at)) > at, 1).otherwise(0)
+    queued = queued.withColumn("queue_end", F.col("queue_start") + F.col("doc_tokens"))
+    packets = queued.select("*", F.explode(F.sequence(holding(F.col("queue_start")), holding(F.col("queue_end") - 1))).alias("k"))
+    start, end = F.greatest(first(F.col("k")), "queue_start"), F.least(first(F.col("k") + 1), "queue_end")
+    packets = packets.withColumns({"start": start - F.col("queue_start"), "length": end - start})
+    # Queues that don't send in each round begin at different ones.
+    phase = F.when(F.col("slice") == F.col("quantum"), F.lit(0.0)).otherwise(F.pmod(F.xxhash64("source"), F.lit(1024)) / 1024)
+    round_ = F.col("late") + F.floor((F.col("k") + phase) * F.col("slice") / F.col("quantum")).cast("long")
+    packets = packets.withColumn("round", round_).withColumn("block", F.floor(F.col("round") / BLOCK_ROUNDS).cast("long"))
+    packets = packets.select("row_id", "source", "place", "start", "length", "round", "block")
     packets = written(packets, "packets")
     ahead = running_totals(packets, [], "block", F.col("length"), "block_start")
     packets = packets.join(ahead, "block")

@@ -80,14 +80,36 @@ def test_packing_round_trip(docs):
         assert sum(n for _, n in parts) == size or s == max(sequences)
 
 
-def test_packing_keeps_the_mixture(spark):
-    rows = [(i, prose(20, i), "a" if i % 4 else "b") for i in range(400)]
-    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string"), WORDS, size=256).collect()
-    total = sum(p.length for p in pieces)
-    share = sum(p.length for p in pieces if p.source == "b") / total
-    for first in range(0, max(p.sequence_id for p in pieces) - 8, 8):
-        part = [p for p in pieces if first <= p.sequence_id < first + 8]
-        assert abs(sum(p.length for p in part if p.source == "b") / sum(p.length for p in part) - share) < 0.05
+@pytest.mark.parametrize("weights", [None, {"a": 5, "b": 2.5, "tiny": 0.05}])
+def test_packing_keeps_the_mixture_of_each_sequence(spark, weights):
+    size, names = 256, ["a"] * 12 + ["b"] * 5 + ["c"] * 2 + [None]
+    rows = [(i, prose(random.Random(i).choice([3, 40, 700]), i), "tiny" if i % 150 == 0 else names[i % 20]) for i in range(600)]
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string"), WORDS, size=size, weights=weights).collect()
+    total = Counter()
+    by_sequence = {}
+    for p in pieces:
+        total[p.source] += p.length
+        by_sequence.setdefault(p.sequence_id, Counter())[p.source] += p.length
+    share = {s: (weights.get(s, 1.0) if weights else n) for s, n in total.items()}
+    share = {s: w / sum(share.values()) for s, w in share.items()}
+    dry = min(n / share[s] for s, n in total.items()) / size  # rounds until the first queue is empty
+    assert dry > 20
+    for sequence, found in by_sequence.items():
+        if sequence < dry - 2:
+            for s, part in share.items():
+                assert abs(found[s] - part * size) <= max(part * size, packing.LEAST_SLICE) + 1, (sequence, s)  # one slice
+
+
+def test_packing_of_sources_without_weight(spark):
+    rows = [(i, prose(60, i), "abc"[i % 3]) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    pieces = packing.pack(docs, WORDS, size=64, weights={"a": 0.0, "b": 2, "c": 1}).collect()
+    assert len({p.row_id for p in pieces}) == 90
+    last = max((p.sequence_id, p.offset) for p in pieces if p.source != "a")
+    assert all((p.sequence_id, p.offset) > last for p in pieces if p.source == "a")
+    assert {p.source for p in packing.pack(docs, WORDS, size=64, weights={"a": 0, "b": 0, "c": 0}).collect()} == set("abc")
+    with pytest.raises(ValueError, match="negative"):
+        packing.pack(docs, WORDS, weights={"a": -1})
 
 
 def base_rules(text):
