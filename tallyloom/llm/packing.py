@@ -54,7 +54,7 @@ def pack(docs: DataFrame, path: str, size: int = 2048, weights: dict[str, float]
     leaves of a token is carried to the next.  The round of each slice follows from its
     place in its queue, so no state has to pass from task to task.  The stream, ordered by
     round, source and queue, is cut every `size` ids: all sequences but the last are full,
-    and each holds its sources' shares to within a slice.
+    and each holds its sources' shares to within a slice (two of a source that saves up).
 
     shares: each source's part of all tokens, or `weights` by source (others 1); when a
     queue runs dry, those left share the sequences in the same proportions.  Sources of
