@@ -91,19 +91,22 @@ def channel_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """One row describing a fact frame.
+METRICS = ("Spend_AUD", "Clicks", "Impressions")
 
-    Rows are first combined per country, channel and campaign, so the distinct
-    counts expand that much smaller table and not the facts themselves.
-    """
-    metrics = ("Spend_AUD", "Clicks", "Impressions")
-    parts = df.groupBy("Country", "Channel", "Campaign").agg(
+
+def partial_profile(df: DataFrame, *by: str) -> DataFrame:
+    """Sums per country, channel and campaign, which can be added up further."""
+    return df.groupBy(*by, "Country", "Channel", "Campaign").agg(
         F.count(F.lit(1)).alias("n"),
+        F.count("Date").alias("dated"),
         F.min("Date").alias("lo"),
         F.max("Date").alias("hi"),
-        *[F.sum(c).alias(c) for c in metrics],
+        *[F.sum(c).alias(c) for c in METRICS],
     )
+
+
+def profile_of_parts(parts: DataFrame) -> DataFrame:
+    """One row out of partial profiles."""
     return parts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
         F.min("lo").alias("first_date"),
@@ -118,11 +121,20 @@ def profile(df: DataFrame) -> DataFrame:
         ],
         *[
             F.coalesce(F.sum(c), F.lit(0).cast("double")).alias(f"total_{c.lower()}")
-            for c in metrics
+            for c in METRICS
         ],
     )
 
 
+def profile(df: DataFrame) -> DataFrame:
+    """One row describing a fact frame.
+
+    Rows are first combined per country, channel and campaign, so the distinct
+    counts expand that much smaller table and not the facts themselves.
+    """
+    return profile_of_parts(partial_profile(df))
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """The values of a column that occur, one per row and sorted, NULL left out."""
     return df.select(column).dropna().distinct().orderBy(column)

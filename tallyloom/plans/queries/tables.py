@@ -31,6 +31,7 @@ from tallyloom.plans.queries.sources import DAYS_SQL, INSIGHTS_SQL, LAND, RESPON
 from tallyloom.sources.api import read_insights
 from tallyloom.sources.grids import GRID_SCHEMA, land_grid, scan_grid
 from tallyloom.sources.storage import scratch
+from tallyloom.sources.summaries import table_channels, table_profile
 from tallyloom.sources.tables import (
     ensure_table,
     initial_load,
@@ -180,6 +181,37 @@ def _(t):
     )
 
 
+@query(
+    "e05_kept_summary",
+    f"""{DEDUPED}, {SHIFTED} SELECT version, Channel, count(Date) AS "Rows", round(coalesce(sum(Spend_AUD), 0), 2) AS Spend,
+ coalesce(sum(Clicks), 0) AS Clicks, coalesce(sum(Impressions), 0) AS Impressions
+ FROM (SELECT 1 AS version, Date, Channel, Spend_AUD, Clicks, Impressions FROM deduped
+  UNION ALL SELECT 2, Date, Channel, Spend_AUD, Clicks, Impressions FROM merged) GROUP BY 1, 2""",
+)
+def _(t):
+    """Channels of two versions, added up from the sums kept for each change."""
+    path = scratch(t.spark, "table")
+    upsert(t.spark, path, deduped(t))
+    upsert(t.spark, path, next_month(read_facts(t.spark, path)))
+    return rounded(
+        union_all(table_channels(t.spark, path, v).withColumn("version", F.lit(v)) for v in (1, 2))
+    )
+
+
+@query(
+    "e07_kept_profile",
+    f"""{DEDUPED}, {SHIFTED} SELECT count(*) AS total_rows, min(Date) AS first_date, max(Date) AS last_date,
+ count(DISTINCT Country) AS countries, count(DISTINCT Channel) AS channels, count(DISTINCT Campaign) AS campaigns,
+ round(sum(Spend_AUD), 2) AS total_spend_aud, sum(Clicks) AS total_clicks, sum(Impressions) AS total_impressions FROM merged""",
+)
+def _(t):
+    path = scratch(t.spark, "table")
+    upsert(t.spark, path, deduped(t))
+    table_profile(t.spark, path)
+    upsert(t.spark, path, next_month(read_facts(t.spark, path)))
+    return table_profile(t.spark, path).withColumn("total_spend_aud", F.round("total_spend_aud", 2))
+
+
 @query("d02_two_writers", f"{DEDUPED}, {SHIFTED} SELECT {FACTS} FROM merged")
 def _(t):
     """Two batches merged at the same time into the same months."""

@@ -105,6 +105,14 @@ def _move_new(spark: SparkSession, fs, source, target) -> bool:
         raise
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> bool:
+    """Give a folder a name that isn't taken; False if it is."""
+    fs, here = _path(spark, source)
+    _, there = _path(spark, target)
+    fs.mkdirs(there.getParent())
+    return not fs.exists(there) and fs.rename(here, there)
+
+
 def move(spark: SparkSession, source: str, folder: str) -> str:
     """Move a file into a folder; a name that is taken gets the first free suffix."""
     fs, here = _path(spark, source)

@@ -101,6 +101,12 @@ def read_changes(spark: SparkSession, path: str, at: int | None = None) -> DataF
     return rows.filter("_change <> 'kept'").select(*FACT_COLUMNS, "_change")
 
 
+def read_change(spark: SparkSession, path: str, change: str | None) -> DataFrame:
+    """All rows a change wrote, with their months; none for None."""
+    folders = [] if change is None else [change_folder(path, change)]
+    return _read(spark, path, folders).select(*TABLE_SCHEMA.fieldNames())
+
+
 def ensure_table(spark: SparkSession, path: str) -> bool:
     """True if the table was there; creates it empty otherwise."""
     return version(spark, path) is not None or not publish(spark, path, Version(0, {}))
