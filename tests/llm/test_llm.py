@@ -161,7 +161,7 @@ def test_secret_scan(spark):
 
 def lines_removed(rows):
     lines = [((i is None, i or 0, t), n, frozenset(w for w in BLANK.split(x) if w)) for i, t in rows if t is not None for n, x in enumerate(t.split("\n"))]
-    lines = [x for x in lines if len(x[2]) >= 5]
+    lines = [x for x in lines if x[2]]
     return {(a[0][1] if not a[0][0] else None, a[1]) for a in lines for b in lines if (b[0], b[1]) < (a[0], a[1]) and 5 * len(a[2] & b[2]) >= 4 * len(a[2] | b[2])}
 
 
@@ -177,6 +177,7 @@ def test_line_join(spark):
             lines.append(" ".join(words))
         rows.append((i, "\n".join(lines)))
     rows += [(100, None), (101, ""), (102, "\n\n"), (103, "a b c d e f " * 3000)]
+    rows += [(104, "Menu\nto be or\none two three four"), (105, "Menu\nor  be to\nto be\nfive one two three four"), (106, "Menu\n \nto be or not\nfive one two four three six")]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("removed", F.lit("own"))
     got = line_join.without_removed(table).collect()
     assert {(r.doc_id, n) for r in got for n in r.removed} == lines_removed(rows)
