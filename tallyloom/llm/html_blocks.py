@@ -20,18 +20,26 @@ from tallyloom.llm.common import batches, table
 # Elements that don't break a line, that never close, and whose text is no text.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head script style noscript template svg iframe object".split())
+UNSEEN = frozenset("head title script style noscript template svg math iframe object".split())
+IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+DRAWN, HTML_IN_DRAWN = frozenset("svg math".split()), frozenset("foreignobject desc title annotation-xml mtext".split())
+ENDS_DRAWN = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
-PATH_DIMS, NAME_DIMS, WORD_DIMS, DENSE = 48, 48, 24, 6
-WIDTH = PATH_DIMS + NAME_DIMS + WORD_DIMS + DENSE
-SAMPLE_PAGES, SAMPLE_CHARS, MADE_PAGES = 150, 200_000, 450  # bounds of what the labeller is fitted on
+PATH_DIMS, NAME_DIMS, WORD_DIMS, ENDS_DIMS, DENSE = 48, 48, 24, 24, 6
+WIDTH = PATH_DIMS + NAME_DIMS + WORD_DIMS + ENDS_DIMS + DENSE
+FIRST, LAST = 6, 4  # words that also count as a block's beginning and end
+SAMPLE_PAGES, SAMPLE_CHARS, SAMPLE_BLOCKS, MADE_PAGES = 150, 200_000, 300, 450  # bounds of what the labeller is fitted on
 TOGETHER = 64  # pages whose blocks are labelled at once
 
 
 class Blocks(HTMLParser):
-    """The page's leaf sequence: (path, text, characters in links); path: (tag, names) from the root."""
+    """The page's leaf sequence: (path, text, characters in links); path: (tag, names) from the root.
+
+    Ends that a page may leave out are put in where a browser puts them: a head ends at the
+    first element or text that it can't hold, a drawing at the first element of running text.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -47,8 +55,8 @@ class Blocks(HTMLParser):
         self.parts, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag == "body" and self.unseen and all(t != "script" for t, _ in self.path):
-            self._close("head")
+        if self.unseen:
+            self._end_left_out(tag)
         if tag not in INLINE:
             self.flush()
         for inner in CLOSES.get(tag, {"p"} if tag in ENDS_P else ()):
@@ -61,6 +69,15 @@ class Blocks(HTMLParser):
         self.unseen += tag in UNSEEN
         self.links += tag == "a"
 
+    def _end_left_out(self, tag: str) -> None:
+        """Close a drawing or a head that can't hold such an element."""
+        inner = next((t for t, _ in reversed(self.path) if t in DRAWN or t in HTML_IN_DRAWN), None)
+        while inner in DRAWN and (tag in ENDS_DRAWN or tag in ENDS_P):
+            self._close(inner)
+            inner = next((t for t, _ in reversed(self.path) if t in DRAWN or t in HTML_IN_DRAWN), None)
+        if self.path and self.path[-1][0] == "head" and tag not in IN_HEAD:
+            self._close("head")
+
     def _near(self, tag: str) -> list:
         """What is open inside the closest element that keeps such a tag."""
         holders = {"li": ("ul", "ol"), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "dt": ("dl",), "dd": ("dl",), "option": ("select",)}.get(tag, ("td", "th", "li", "div", "article", "section"))
@@ -84,6 +101,8 @@ class Blocks(HTMLParser):
         self._close(tag)
 
     def handle_data(self, data: str) -> None:
+        if self.path and self.path[-1][0] == "head" and not data.isspace():
+            self._close("head")
         if not self.unseen:
             self.parts.append(data)
             self.linked += len(data) if self.links else 0
@@ -104,9 +123,29 @@ def _put(out: np.ndarray, first: int, dims: int, word: str, amount: float) -> No
     out[first + h % dims] += amount if h & 0x10000 else -amount
 
 
+class Words(dict):
+    """Places of words in a table of hashed vectors; of bounded number."""
+
+    table = np.zeros((4 * WORD_DIMS * WORD_DIMS, WORD_DIMS))  # of all pairs of two signed dimensions
+    for n in range(len(table)):
+        for side in divmod(n, 2 * WORD_DIMS):
+            table[n, side >> 1] += 1 if side & 1 else -1
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 100_000:
+            self.clear()
+        low, sides = word.lower().encode("utf-8", "replace"), 2 * WORD_DIMS
+        self[word] = found = zlib.crc32(low) % sides * sides + zlib.crc32(low, 99) % sides
+        return found
+
+
 class Vectors(dict):
     """Hashed vectors of whole paths, kept for the paths of a task, of bounded number."""
 
+    def __init__(self) -> None:
+        super().__init__()
+        self.words = Words()
+
     def __missing__(self, path: tuple) -> np.ndarray:
         if len(self) > 20_000:
             self.clear()
@@ -121,15 +160,22 @@ class Vectors(dict):
         return own
 
 
+def _sum_of(at: np.ndarray) -> np.ndarray:
+    """Sum of the table's rows at these places; each 4096 words at once."""
+    return sum((Words.table[at[k : k + 4096]].sum(axis=0) for k in range(0, len(at), 4096)), np.zeros(WORD_DIMS))
+
+
 def vectors(blocks: list[tuple[tuple, str, int]], memo: Vectors) -> np.ndarray:
-    """A row for each block: hashed path and names, hashed words, and what its text looks like."""
+    """A row for each block: hashed path and names, all its words hashed, its first and last ones, and what its text looks like."""
     out = np.zeros((len(blocks), WIDTH))
     for n, (path, text, linked) in enumerate(blocks):
-        out[n, : PATH_DIMS + NAME_DIMS] = memo[path]
         words = text.split(" ")
-        for w in words[:6] + words[-4:]:
-            _put(out[n], PATH_DIMS + NAME_DIMS, WORD_DIMS, w.lower(), 0.15)
-        out[n, -DENSE:] = (np.log1p(len(words)) / 3, linked / len(text), text[-1] in ".!?", sum(map(text.count, ".,;")) / len(words), n / len(blocks), len(path) / 10)
+        at = np.fromiter(map(memo.words.__getitem__, words), np.int64, len(words))
+        own = out[n]
+        own[: PATH_DIMS + NAME_DIMS] = memo[path]
+        own[-DENSE - ENDS_DIMS - WORD_DIMS : -DENSE - ENDS_DIMS] = _sum_of(at) * (0.5 / len(words) ** 0.5)
+        own[-DENSE - ENDS_DIMS : -DENSE] = _sum_of(np.concatenate([at[:FIRST], at[-LAST:]])) * 0.15
+        own[-DENSE:] = (np.log1p(len(words)) / 3, linked / len(text), text[-1] in ".!?", sum(map(text.count, ".,;")) / len(words), n / len(blocks), len(path) / 10)
     return out
 
 
@@ -242,14 +288,15 @@ def made_page(pool: list[str], rng: random.Random) -> list[tuple[tuple, str, int
 def fit(pages: DataFrame, sample: int = SAMPLE_PAGES, made: int = MADE_PAGES, seed: int = 11) -> dict[str, np.ndarray]:
     """Train the labeller on at most `sample` pages, the first by hashed id, labelled by their
     landmark elements, and on `made` layouts filled with their texts.  Without pages, on
-    layouts of a few plain words."""
+    layouts of a few plain words.  Of pages above SAMPLE_CHARS none is chosen, and of a
+    longer page the first SAMPLE_BLOCKS blocks train: bounds of the sample, not of what is labelled."""
     chosen = pages.where(F.length("html") <= SAMPLE_CHARS).select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(sample)
     real = [blocks_of(r.html) for r in chosen.collect()]
     pool = [b[1] for page in real for b in page] or ["some plain words of a text, which is short."]
     rng, memo = random.Random(seed), Vectors()
     labelled = [[(*b, marked(b[0])) for b in page] for page in real if any(t in ("article", "main") for b in page for t, _ in b[0])]
     labelled += [made_page(pool, rng) for _ in range(made)]
-    labelled = [page[:300] for page in labelled if page]
+    labelled = [page[:SAMPLE_BLOCKS] for page in labelled if page]
     return lstm.train([vectors([b[:3] for b in page], memo) for page in labelled], [np.array([b[3] for b in page]) for page in labelled])
 
 
@@ -276,8 +323,9 @@ def main_text(pages: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
     """(page_id, url, text, n_chars, n_blocks) per row: the blocks labelled as article, in order.
 
     A null, empty or textless page gives an empty text.  Blocks end at every element that
-    isn't inline and at line breaks; their white space becomes single spaces.  Repeated rows
-    and null ids are taken as they come; other columns aren't read.
+    isn't inline and at line breaks; their white space becomes single spaces.  A page of any
+    length is labelled whole: all blocks, and all words of each.  Repeated rows and null ids
+    are taken as they come; other columns aren't read.
     """
     shared = pages.sparkSession.sparkContext.broadcast(weights)
     out = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("n_blocks", pa.int64())])

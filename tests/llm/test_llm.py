@@ -405,6 +405,66 @@ def test_html_blocks(spark):
     assert np.mean([g == b[3] for n, p in enumerate(made) for g, b in zip(good[:, n], p, strict=False)]) > 0.93
 
 
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<html><head><title>x</title><p>text", ["text"]),
+        ("<html><head><title>x</title><meta charset=a><div>a<article><p>b c</p></article></div>", ["a", "b c"]),
+        ("<head><title>x</title>plain words<p>z", ["plain words", "z"]),
+        ("<title>x</title><p>text", ["text"]),
+        ("<head><script>'<p>no</p>'</script><style>p{}</style></head><body><p>yes", ["yes"]),
+        ("<body><p>one</p><svg><path d=1><text>label</text><p>two</p><section>three</section>", ["one", "two", "three"]),
+        ("<body><svg><foreignObject><div>in</div></foreignObject></svg><p>two</p>", ["two"]),
+        ("<body><math><mi>x</mi><svg><g><p>after both", ["after both"]),
+        ("<div><svg><text>label</text></div><p>after</p>", ["after"]),
+    ],
+)
+def test_ends_that_a_page_leaves_out(html, want):
+    assert [b[1] for b in html_blocks.blocks_of(html)] == want
+
+
+def test_all_words_of_a_block_count():
+    """Blocks that differ in one middle word only have different vectors; very long ones stay in scale."""
+    words = prose(60, 3).split()
+    other = [*words[:30], "advert", *words[31:]]
+    path = (("body", ()), ("p", ()))
+    long = " ".join(f"w{k}" for k in range(60_000))
+    x, y, z = html_blocks.vectors([(path, " ".join(words), 0), (path, " ".join(other), 0), (path, long, 0)], html_blocks.Vectors())
+    assert np.abs(x - y).max() > 0.01 and np.isfinite(z).all() and np.abs(z).max() < 6
+    summed = sum(html_blocks.Words.table[html_blocks.Words()[w]] for w in words)
+    assert np.allclose(x[96:120], summed * 0.5 / 60**0.5)
+
+
+def test_html_blocks_without_names(spark):
+    """On layouts whose names and landmark elements are neutral, the labels come from words, places and neighbours."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    weights = html_blocks.fit(pages)
+    rng, pool = random.Random(5), [b[1] for r in pages.collect() for b in html_blocks.blocks_of(r.html)]
+    landmarks = {*html_blocks.APART, "article", "main", "section"}
+    bare = []
+    for _ in range(80):
+        page = html_blocks.made_page(pool, rng)
+        bare.append([(tuple(("div" if t in landmarks else t, ()) for t, _ in path), *rest) for path, *rest in page])
+    bare = [p for p in bare if p]
+
+    def right(pages):
+        x, mask = lstm.padded([html_blocks.vectors([b[:3] for b in p], html_blocks.Vectors()) for p in pages])
+        good = lstm.probabilities(weights, x, mask) > 0.5
+        return np.mean([g == b[3] for n, p in enumerate(pages) for g, b in zip(good[:, n], p, strict=False)])
+
+    usual = np.mean([b[3] for p in bare for b in p])
+    assert right(bare) > max(usual, 1 - usual) + 0.1
+    assert right(bare) > right([[b] for p in bare for b in p])  # each block by itself
+
+
+def test_long_pages_are_labelled_whole(spark):
+    paragraphs = "".join(f"<p>Paragraph {k} tells a part of the long story, and it goes on.</p>" for k in range(3000))
+    html = f"<html><body><nav><ul><li><a href=a>Home</a></li></ul></nav><article>{paragraphs}</article><footer>Imprint</footer></body></html>"
+    weights = html_blocks.fit(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
+    row = html_blocks.main_text(spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string"), weights).first()
+    assert row.text.split("\n") == [f"Paragraph {k} tells a part of the long story, and it goes on." for k in range(3000)]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string, source string")
     assert token_counts.token_counts(none, BYTES).count() == 0
