@@ -304,6 +304,33 @@ def test_chains_after_a_long_chain():
     assert sorted(map(len, chaining.chains(at, at))) == [16, 51]
 
 
+def test_chains_against_all_pairs():
+    """The best chain scores what a search over all pairs of anchors finds, also where texts repeat themselves."""
+    k, cost, reach = chaining.K, chaining.GAP_COST, chaining.LONGEST_GAP + chaining.K
+
+    def gain(da, db):
+        return min(k, da, db) - cost * (da + db)
+
+    rng = random.Random(3)
+    for trial in range(300):
+        size, points = rng.choice([20, 100, 300, 1000]), set()
+        while len(points) < 1 + trial % 110:
+            x, y = rng.randrange(size), rng.randrange(size)
+            for _ in range(rng.randint(1, 20)):
+                x, y = x + rng.randint(1, 5), y + rng.randint(1, 5)
+                points.add((x, y))
+        a, b = zip(*rng.sample(sorted(points), len(points)), strict=True)
+        score = {}
+        for i in sorted(range(len(a)), key=lambda i: (b[i], a[i])):
+            near = [j for j in score if 0 < b[i] - b[j] <= reach and 0 < a[i] - a[j] <= reach]
+            score[i] = max([k, *(score[j] + gain(a[i] - a[j], b[i] - b[j]) for j in near)])
+        found = chaining.chains(list(a), list(b))
+        assert sorted(i for chain in found for i in chain) == list(range(len(a)))
+        steps = [(a[j] - a[i], b[j] - b[i]) for i, j in zip(found[0], found[0][1:], strict=False)]
+        assert all(0 < da <= reach and 0 < db <= reach for da, db in steps)
+        assert abs(k + sum(gain(*d) for d in steps) - max(score.values())) < 1e-6
+
+
 def test_contamination(spark):
     item, short = prose(40, 21), "six words make this item whole"
     swapped = item.upper().split()
