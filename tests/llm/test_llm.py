@@ -304,6 +304,27 @@ def test_chains_after_a_long_chain():
     assert sorted(map(len, chaining.chains(at, at))) == [16, 51]
 
 
+@pytest.mark.parametrize("piece", [7, 1 << 20])
+def test_words_and_their_hashes(monkeypatch, piece):
+    """Runs of other than white space, wherever a long text is cut; equal words, and no others, have equal hashes."""
+    monkeypatch.setattr(chaining, "PIECE", piece)
+    known = {}
+    for text in [*WILD, prose(900, 4), " ", "\n\t ", "a", "x" * 70_000 + " y " + "z" * 5, "aB cd\n" * 30_000]:
+        words, hashes = text.encode().lower().split(), chaining.words_of(text.encode())
+        assert len(words) == len(hashes)
+        assert all(known.setdefault(w, h) == h for w, h in zip(words, hashes.tolist(), strict=True))
+    assert len(set(known.values())) == len(known)
+
+
+def test_least_values_of_windows():
+    rng = np.random.default_rng(2)
+    for n in range(1, 40):
+        h = rng.integers(0, rng.choice([3, 1 << 60]), n).astype(np.uint64)
+        for width in range(1, min(9, n + 1)):
+            want = sorted({start + int(h[start : start + width].argmin()) for start in range(n - width + 1)})
+            assert chaining._least_of_windows(h, width).tolist() == want
+
+
 def test_chains_against_all_pairs():
     """The best chain scores what a search over all pairs of anchors finds, also where texts repeat themselves."""
     k, cost, reach = chaining.K, chaining.GAP_COST, chaining.LONGEST_GAP + chaining.K
