@@ -221,7 +221,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, **limits) -> Dat
     """The rows of docs, with their own columns, that hold no benchmark passage."""
     found = overlaps(docs.select("doc_id", "text"), benchmark, **limits).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
     text = F.coalesce(docs["text"], F.lit(""))
-    return docs.join(found, (F.xxhash64(text) == F.col("_k1")) & (F.xxhash64(F.lit("second"), text) == F.col("_k2")), "left_anti")
+    return docs.join(found, (F.xxhash64(text) == found["_k1"]) & (F.xxhash64(F.lit("second"), text) == found["_k2"]), "left_anti")
 
 
 def op8_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -258,9 +258,11 @@ def one_of_each(docs: DataFrame, share: int = 80) -> DataFrame:
     keys = best.alias("x").join(times.alias("y"), same, "left").select("x.doc_id", "x.h1", "x.h2", F.col("n").isNotNull().alias("again"))
     keys = keys.union(blank.withColumn("again", F.lit(False))).select(F.col("doc_id").alias("_id"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.col("again").alias("_again"))
     h1, h2 = text_hashes(docs["text"])
-    kept = docs.join(keys.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col("_id")) & (h1 == F.col("_h1")) & (h2 == F.col("_h2")))
+    keys = keys.hint("shuffle_hash")
+    kept = docs.join(keys, docs["doc_id"].eqNullSafe(keys["_id"]) & (h1 == keys["_h1"]) & (h2 == keys["_h2"]))
+    kept = kept.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *[keys[c] for c in keys.columns])
     again = kept.where("_again").dropDuplicates(["_id", "_h1", "_h2"])
-    return kept.where("NOT _again").union(again).select(*[docs[c] for c in docs.columns])
+    return kept.where("NOT _again").union(again).select("row.*")
 
 
 def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -243,6 +243,20 @@ def test_near_duplicates_of_a_star(spark, copies, place):
     assert got == {i: 0 if i <= copies else i for i, _ in rows}
 
 
+def test_clashing_names(spark):
+    """Columns named like the operators' own stay as they are and change nothing."""
+    rows = [(1, f"{prose(40, 1)}\none line of six words here"), (2, f"{prose(40, 1)}\none line of six words here"), (2, f"{prose(40, 1)}\none line of six words here"), (3, prose(30, 2)), (None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    own = ("_id", "_h", "_h1", "_h2", "_again", "_k1", "_k2", "row")
+    more = table.select("*", *[F.lit(f"own {c}").alias(c) for c in own])
+    bench = spark.createDataFrame([(1, prose(30, 2))], "item_id long, text string")
+    for operator in (line_join.without_removed, lsh_forest.one_of_each, lambda t: decontaminate.without_contaminated(t, bench)):
+        plain, got = operator(table), operator(more)
+        assert set(got.columns) == {*plain.columns, *own}
+        same_rows([str(r) for r in got.select(*plain.columns).collect()], [str(r) for r in plain.collect()])
+        assert all(r[c] == f"own {c}" for r in got.select(*own).collect() for c in own)
+
+
 def test_components(spark):
     chain = [(k + 1, k) for k in range(50)] + [(100, 101), (101, 102), (200, 200)]
     got = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).collect()))
