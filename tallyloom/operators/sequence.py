@@ -1,9 +1,10 @@
 """Operators that depend on file order: forward fill, occurrence number, newest.
 
 One export may hold a large share of all rows, and so may one repeated value in
-it.  No window here spans a whole file: file order is cut into blocks of at most
-`block` consecutive row numbers, windows work inside a block, and a small table
-of block summaries carries what one block needs from those before it.
+it.  No window here spans a whole file: file order is cut into blocks of about
+`block` rows, windows work inside a block, and a small table of block summaries
+carries what one block needs from those before it.  The cuts follow the row
+numbers met, so dense, sparse and uneven numberings give blocks of alike size.
 """
 
 from __future__ import annotations
@@ -16,12 +17,51 @@ from pyspark.sql import functions as F
 from tallyloom.schema import name
 
 BLOCK_ROWS = 1 << 20
+PIECES = 256  # quantiles of the row numbers that cuts are taken from, a power of two
 
 
 def _in_blocks(df: DataFrame, order: str, block: int) -> DataFrame:
-    return df.withColumn("_blk", F.floor(name(order) / F.lit(block)).cast("bigint"))
+    """df with `_blk`, which never falls as the row number grows.
+
+    All rows together make as many blocks as hold `block` rows each.  The cuts are
+    quantiles of the row numbers over all files, and even steps between two quantiles
+    where these are too far apart; a file whose numbering has its rows in one such gap
+    still gives at most one row in PIECES to a block.  Any cuts give the same result.
+    """
+    at = name(order).cast("bigint")
+    shares = [i / PIECES for i in range(PIECES)]
+    met = df.agg(
+        F.struct(
+            F.count(at).alias("rows"),
+            F.max(at).alias("last"),
+            F.percentile_approx(at, shares, PIECES * 40).alias("cuts"),
+        )
+    ).scalar()
+    cuts, wanted = met["cuts"], F.ceil(met["rows"] / F.lit(block))
+    # The last cut that isn't above the row number, halving what is left of them each time.
+    cut = df.withColumn("_piece", F.lit(0))
+    for half in [1 << k for k in reversed(range(PIECES.bit_length() - 1))]:
+        further = (wanted > 1) & (F.get(cuts, F.col("_piece") + half) <= at)
+        cut = cut.withColumn("_piece", F.col("_piece") + F.when(further, half).otherwise(0))
+    cut = cut.withColumns(
+        {
+            "_low": F.get(cuts, F.col("_piece")),
+            "_high": F.coalesce(F.get(cuts, F.col("_piece") + 1), met["last"]),
+        }
+    )
+    steps = F.ceil(wanted / PIECES)
+    blk = (
+        F.when(wanted <= 1, 0)
+        .when(wanted <= PIECES, F.floor(F.col("_piece") * wanted / PIECES))
+        .otherwise(F.col("_piece") * steps + _step(at, steps))
+    )
+    return cut.withColumn("_blk", blk.cast("bigint")).drop("_piece", "_low", "_high")
 
 
+def _step(at: Column, steps: Column) -> Column:
+    """The place of a row number among `steps` even steps from _low to _high."""
+    share = (at - F.col("_low")).cast("double") / (F.col("_high") - F.col("_low") + 1)
+    return F.least(F.greatest(F.floor(share * steps), F.lit(0)), steps - 1)
 
 
 def forward_fill(
@@ -84,8 +124,8 @@ def occurrence(
 ) -> DataFrame:
     """Number the rows of each group 1, 2, 3 … in file order; NULLs form a group.
 
-    `by` includes the file.  Row numbers are unique in a file, so a group has at
-    most `block` rows per block, however often its value repeats.
+    `by` includes the file.  A block has about `block` rows of all files, so a group
+    has no more in it, however often its value repeats.
     """
     group = _never_null(df, by)
     keys = [*group, "_blk"]

@@ -14,8 +14,7 @@ from tallyloom.functions.scalars import ratio_or_null
 from tallyloom.settings import RunOptions
 
 RUN_DATE = dt.date(2026, 4, 27)
-# Row numbers of the derived exports are about 8e9 apart per order.
-OPTIONS = RunOptions(run_date=RUN_DATE, block_rows=8_000_000_000 * 4096)
+OPTIONS = RunOptions(run_date=RUN_DATE)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}

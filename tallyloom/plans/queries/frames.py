@@ -527,7 +527,7 @@ def _(t):
     df = t.sql(EXPORT).select(
         "pth", "rn", F.concat("brand", F.lit(" - "), F.coalesce("flag", F.lit("nan"))).alias("base")
     )
-    return Q.number_repeats(df, "base", ["pth"], "rn", block=OPTIONS.block_rows)
+    return Q.number_repeats(df, "base", ["pth"], "rn")
 
 
 @query(
@@ -545,7 +545,7 @@ def _(t):
         F.when((F.col("line") == 1) & (F.col("part_no") % 5 == 0), F.col("iso")).alias("iso"),
         F.when(F.col("line") == 2, F.col("camp")).alias("camp"),
     )
-    return Q.forward_fill(df, ["iso", "camp"], ["pth"], "rn", block=OPTIONS.block_rows)
+    return Q.forward_fill(df, ["iso", "camp"], ["pth"], "rn")
 
 
 @query(

@@ -170,8 +170,7 @@ class RunOptions:
     run_date   audit date; None means the cluster's current date
     usd_to_aud rate applied to dollar-denominated spend
     null_text  what a missing cell becomes inside joined text; None leaves it out
-    block_rows span of row numbers worked on together where file order matters;
-               raise it where an export numbers its rows sparsely
+    block_rows rows worked on together where file order matters, however they are numbered
     """
 
     run_date: dt.date | None = None

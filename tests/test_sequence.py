@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tallyloom.operators.sequence import forward_fill, newest_per_group, number_repeats, occurrence
+from tallyloom.operators.sequence import PIECES, _in_blocks, forward_fill, newest_per_group, number_repeats, occurrence
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +40,27 @@ def test_occurrence_across_blocks_with_null_groups(skewed, block):
     assert rows(occurrence(df, ["p", "v"], "n", "k", block)) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("numbering", ["n", "n * 8000000000", "n * n * n", "n + IF(n < 5, 0, 1000000000000000)"])
+@pytest.mark.parametrize("block", [7, 400, 3000])
+def test_blocks_follow_the_numbering(spark, numbering, block):
+    df = spark.range(1, 6001).toDF("n").selectExpr(f"cast({numbering} AS bigint) AS n")
+    cut = _in_blocks(df, "n", block)
+    assert cut.columns == ["n", "_blk"]
+    blocks = cut.groupBy("_blk").agg(F.count("*").alias("rows"), F.min("n").alias("a"), F.max("n").alias("b"))
+    met = sorted(rows(blocks, "_blk", "rows", "a", "b"))
+    assert all(x[3] < y[2] for x, y in zip(met, met[1:]))
+    # the share of a piece is the most that uneven steps may put in one block
+    assert max(m[1] for m in met) <= max(2 * block, 3 * 6000 // PIECES)
+    assert len(met) <= 6000 // block + PIECES + 1
+
+
+def test_blocks_of_no_rows_and_of_one(spark):
+    none = spark.createDataFrame([], "p string, n bigint, v string")
+    assert rows(forward_fill(none, ["v"], ["p"], "n")) == rows(occurrence(none, ["p", "v"], "n")) == []
+    one = spark.createDataFrame([("f", 4, None)], "p string, n bigint, v string")
+    assert rows(occurrence(one, ["p", "v"], "n", "k", 1)) == [("f", 4, None, 1)]
+
+
 def test_repeats_are_numbered_from_the_second(spark):
     df = spark.createDataFrame([("f", i, "x") for i in range(3)] + [("g", 9, "x")], "p string, n bigint, v string")
     assert rows(number_repeats(df, "v", ["p"], "n"), "p", "v") == [
