@@ -15,7 +15,8 @@ from tallyloom.llm.components import components
 
 WIDTH = 5  # words of a shingle
 TREES, DEPTH, LEAST_DEPTH = 20, 6, 4  # sorted orders; values of a label; of them equal at least
-REGION = 512  # larger regions go to full depth, then to blocks
+REGION = 512  # nodes of a region; beginnings that more share are divided
+SIDE = 8  # neighbours on either side of a node in an order
 CLASSES = 1 << 20  # of the table of shingle counts: its size is fixed
 COUNTED = 8  # one node in so many is counted for it
 SEED = 12345
@@ -62,39 +63,80 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def regions(nodes: DataFrame) -> DataFrame:
-    """(region, label, node): each tree's stretches of labels with a common beginning.
-
-    A region is as deep as its size asks for: LEAST_DEPTH equal values, or all of a label
-    where more than REGION nodes share fewer; what is then still larger is cut into blocks.
-    Regions of one node are left out.  Sizes are counted before they are joined, so no task
-    holds a region's nodes to count them.
+    """(tree, shared, block, label, node, pivot): each tree's stretches of labels with a common beginning.
+
+    A region is as deep as its size asks for: the first depth, from LEAST_DEPTH values on, at
+    which at most REGION nodes share a beginning.  A beginning that more share is divided into
+    its deeper ones, each of which has one node in the order of the upper one, so all stay
+    tied; an order of more than REGION of these is cut where the next value passes even steps.
+    Nodes that share a whole label have no order left: they are dealt to blocks, and meet
+    their first node, too.  Beginnings of one node are left out.  Sizes are counted before
+    they are joined, so no task holds a region's nodes to count them.
     """
     wide = 2 * DEPTH
     label = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.substring(F.col("sig"), t * wide + 1, F.lit(wide)))
     rows = nodes.select("node", F.posexplode(label).alias("tree", "label"))
-    rows = rows.withColumn("short", F.substring("label", 1, 2 * LEAST_DEPTH))
-    few = rows.groupBy("tree", "short").agg(F.count("*").alias("n")).where("n > 1")
-    rows = rows.join(few, ["tree", "short"])
-    small = rows.where(F.col("n") <= REGION).select("tree", F.col("short").alias("shared"), F.lit(0).alias("block"), "label", "node", F.lit(None).cast("long").alias("pivot"))
-    large = rows.where(F.col("n") > REGION)
-    deep = large.groupBy("tree", F.col("label").alias("_label")).agg(F.count("*").alias("size"), F.min("node").alias("pivot"))
-    large = large.join(deep.withColumnRenamed("tree", "_tree"), (F.col("tree") == F.col("_tree")) & (F.col("label") == F.col("_label")))
-    block = F.pmod(F.xxhash64("tree", "node"), F.floor(F.col("size") / REGION).cast("long") + 1).cast("int")
-    large = large.select("tree", F.col("label").alias("shared"), block.alias("block"), "label", "node", "pivot")
-    # in a large region's order, nodes with equal deeper beginnings stand together; its own pivot ties its parts
-    tops = rows.where(F.col("n") > REGION).groupBy("tree", "short").agg(F.min("node").alias("pivot"))
-    tied = rows.where(F.col("n") > REGION).join(tops, ["tree", "short"]).select("tree", F.col("short").alias("shared"), F.pmod(F.xxhash64("label"), F.floor(F.col("n") / REGION).cast("long") + 1).cast("int").alias("block"), "label", "node", "pivot")
-    return small.union(large).union(tied)
+    none, out = F.lit(None).cast("long"), []
+    for depth in range(LEAST_DEPTH, DEPTH + 1):
+        rows = rows.withColumn("shared", F.substring("label", 1, 2 * depth))
+        sizes = rows.groupBy("tree", "shared").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1")
+        rows = rows.join(sizes, ["tree", "shared"])
+        out.append(rows.where(F.col("n") <= REGION).select("tree", "shared", F.lit(0).alias("block"), "label", "node", none.alias("pivot")))
+        rows = rows.where(F.col("n") > REGION)
+        if depth == DEPTH:
+            block = F.pmod(F.xxhash64("tree", "node"), F.floor(F.col("n") / REGION) + 1)
+            out.append(rows.select("tree", "shared", block.cast("int").alias("block"), "label", "node", "pivot"))
+            break
+        value = F.substring("label", 2 * depth + 1, 2)
+        firsts = rows.groupBy("tree", "shared", value.alias("value")).agg(F.min(F.struct("label", "node")).alias("first"))
+        several = firsts.groupBy("tree", "shared").agg(F.count("*").alias("n"), F.min("first.node").alias("pivot")).where("n > 1")
+        block = F.floor(F.conv(F.hex("value"), 16, 10).cast("long") * (F.floor(F.col("n") / REGION) + 1) / (1 << 16))
+        pivot = F.when(F.col("n") > REGION, F.col("pivot"))
+        out.append(firsts.join(several, ["tree", "shared"]).select("tree", "shared", block.cast("int").alias("block"), "first.label", "first.node", pivot.alias("pivot")))
+        rows = rows.select("node", "tree", "label")
+    found = out[0]
+    for part in out[1:]:
+        found = found.union(part)
+    return found
 
 
 def candidate_pairs(found: DataFrame) -> DataFrame:
-    """(a, b): nodes that stand next to each other in a region's order, or one and its region's pivot.
+    """(a, b, step): neighbours by longest common prefix in a region's order, or a node and its region's pivot.
 
-    Nodes with equal labels stand in an order of their own in each tree."""
+    The next on either side always, as step 1; up to SIDE on either side, at their distance,
+    as long as they share as long a prefix as the nearer of the two next ones does.  Nodes
+    with equal labels stand in an order of their own in each tree."""
     line = Window.partitionBy("tree", "shared", "block").orderBy("label", F.xxhash64("tree", "node"), "node")
-    near = found.select(F.col("node").alias("a"), F.lead("node").over(line).alias("b"))
-    tied = found.where("pivot IS NOT NULL").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-    return near.union(tied).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    equal = [(F.substring("label", 1, 2 * d) == F.substring(F.lead("label").over(line), 1, 2 * d)).cast("int") for d in range(1, DEPTH + 1)]
+    depth = F.coalesce(sum(equal[1:], equal[0]), F.lit(0))
+    rows = found.withColumn("after", depth)
+    rows = rows.withColumn("best", F.greatest("after", F.coalesce(F.lag("after").over(line), F.lit(0))))
+    near = []
+    for step in range(1, SIDE + 1):
+        other, theirs = F.lead("node", step).over(line), F.lead("best", step).over(line)
+        common = F.least(*[F.lead("after", k).over(line) for k in range(step)], F.lit(DEPTH))
+        near.append(F.struct(other.alias("b"), theirs.alias("theirs"), common.alias("common"), F.lit(step).alias("step")))
+    pairs = rows.select(F.col("node").alias("a"), "best", F.array(*near).alias("near")).select("a", "best", F.inline("near")).where("b IS NOT NULL")
+    pairs = pairs.where("step = 1 OR common >= least(best, theirs)").select("a", "b", "step")
+    tied = found.where("pivot IS NOT NULL").select(F.col("node").alias("a"), F.col("pivot").alias("b"), F.lit(1).alias("step"))
+    both = pairs.union(tied).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "step")
+    return both.groupBy("a", "b").agg(F.min("step").alias("step"))
+
+
+def apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs whose nodes aren't in one component yet."""
+    for end in ("a", "b"):
+        own = groups.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"))
+        pairs = pairs.join(own, end, "left")
+    return pairs.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+
+
+def forest_links(nodes: DataFrame, rows: DataFrame, share: int) -> DataFrame:
+    """(a, b): links that the forest finds: next neighbours first, further ones where these left nodes apart."""
+    pairs = written(candidate_pairs(written(regions(nodes.select("node", "sig")), "regions")), "pairs")
+    links = written(verified(pairs.where("step = 1"), rows, share), "confirmed")
+    further = written(apart(pairs.where("step > 1"), components(links)), "further")
+    return written(links.union(verified(further, rows, share)), "forest-links")
 
 
 def class_counts(nodes: DataFrame) -> np.ndarray:
@@ -223,8 +265,7 @@ def near_duplicates(docs: DataFrame, share: int = 85) -> DataFrame:
     sets = rows.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("row_id").alias("node"), F.min("doc_id").alias("least_id"))
     sets = written(sets, "nodes")
     nodes = rows.select(F.col("row_id").alias("node"), "sig", "text").join(sets.select("node"), "node", "left_semi")
-    pairs = written(candidate_pairs(written(regions(nodes.drop("text")), "regions")), "pairs")
-    links = written(verified(pairs, rows, share), "confirmed")
+    links = forest_links(nodes, rows, share)
     shared = prefixes(nodes, share)
     for found in (hub_pairs, cross_pairs):
         pairs = written(found(shared, components(links), share), found.__name__)

@@ -243,6 +243,59 @@ def test_near_duplicates_of_a_star(spark, copies, place):
     assert got == {i: 0 if i <= copies else i for i, _ in rows}
 
 
+@pytest.mark.parametrize("region", [lsh_forest.REGION, 6])
+def test_forest_alone_joins_nine_of_ten(spark, monkeypatch, region):
+    """Without the exact join: of the steps that brute force takes to put groups together, nine of ten are found.
+
+    Small regions divide nearly all beginnings, down to whole labels."""
+    monkeypatch.setattr(lsh_forest, "REGION", region)
+    rng, rows = random.Random(9), []
+    for g in range(40):
+        base = prose(150, 5000 + g).split()
+        for _ in range(60 if g < 2 else 6):
+            words = list(base)
+            for _ in range(rng.randint(0, 2)):
+                words[rng.randrange(len(words))] = f"n{rng.random()}"
+            rows.append((len(rows), " ".join(words)))
+    rows += [(5000 + k, prose(120, 7000 + k)) for k in range(60)]
+    signed = lsh_forest.signed(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    least = signed.groupBy("k1", "k2").agg(F.min("row_id").alias("node"))
+    nodes = signed.select(F.col("row_id").alias("node"), "sig", "text").join(least.select("node"), "node", "left_semi")
+    found = [tuple(r) for r in lsh_forest.forest_links(nodes, signed, 85).collect()]
+    ids = {r.row_id: r.doc_id for r in signed.select("row_id", "doc_id").collect()}
+    same = {i: c for i, _, c in groups_of(rows, 85)}
+    assert all(same[ids[a]] == same[ids[b]] for a, b in found)
+    top = {n: n for n in (r.node for r in nodes.select("node").collect())}
+    wanted = len(top) - len({same[ids[n]] for n in top})
+
+    def root(n):
+        while top[n] != n:
+            n = top[n]
+        return n
+
+    joined = 0
+    for a, b in found:
+        a, b = root(a), root(b)
+        if a != b:
+            top[a], joined = b, joined + 1
+    print(f"forest alone, regions of {region}: {joined} of {wanted}")
+    assert 10 * joined >= 9 * wanted > 0
+
+
+def test_neighbours_share_the_longest_prefixes(spark):
+    """A node's partners: the next on either side, and up to SIDE that share its longest prefix."""
+    label = lambda *values: b"".join(v.to_bytes(2, "big") for v in values)
+    labels = [label(1, 1, 1, 1, 5, k) for k in (1, 2, 3)] + [label(1, 1, 1, 1, 9, 9)] + [label(1, 1, 1, 1, 12, k) for k in (7, 7, 7)]
+    rows = [(0, label(1, 1, 1, 1), 0, x, n, None) for n, x in enumerate(labels)]
+    found = spark.createDataFrame(rows, "tree int, shared binary, block int, label binary, node long, pivot long")
+    got = {(r.a, r.b): r.step for r in lsh_forest.candidate_pairs(found).collect()}
+    inside = {frozenset(p) for g in ((0, 1, 2), (4, 5, 6)) for p in combinations(g, 2)}
+    pairs = {frozenset(p) for p in got}
+    assert inside <= pairs and {p for p, step in got.items() if step == 1} >= {(0, 1), (1, 2), (2, 3)}
+    # node 3 shares four values with all: whoever has longer ones isn't reached past its own kind
+    assert all(3 in p or len(p & {0, 1, 2}) != 1 for p in pairs)
+
+
 def test_clashing_names(spark):
     """Columns named like the operators' own stay as they are and change nothing."""
     rows = [(1, f"{prose(40, 1)}\none line of six words here"), (2, f"{prose(40, 1)}\none line of six words here"), (2, f"{prose(40, 1)}\none line of six words here"), (3, prose(30, 2)), (None, None)]
