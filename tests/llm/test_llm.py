@@ -310,6 +310,26 @@ def test_clashing_names(spark):
         assert all(r[c] == f"own {c}" for r in got.select(*own).collect() for c in own)
 
 
+def test_line_stage_keeps_own_columns(spark):
+    """The pipeline's line stage: columns named like the operator's stay; n_chars follows the text."""
+    import corpus_pipeline
+
+    line = "one line of six words here"
+    rows = [(1, f"{prose(9, 1)}\n{line}"), (2, f"{prose(9, 2)}\n{line}"), (3, line), (4, None), (5, ""), (6, "\n")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    own = ("removed", "n_lines", "kept_text", "others", "_id", "_h")
+    more = table.select(*[F.concat(F.lit(f"{c} of "), "doc_id").alias(c) for c in own], "doc_id", "text", F.length("text").alias("n_chars"))
+    got = corpus_pipeline.without_repeated_lines(spark, more, "")
+    assert got.columns == more.columns and dict(got.dtypes) == dict(more.dtypes)
+    found = {r.doc_id: r for r in got.collect()}
+    assert {i: r.text for i, r in found.items()} == {1: rows[0][1], 2: prose(9, 2), 4: None, 5: "", 6: "\n"}
+    assert all(r[c] == f"{c} of {i}" for i, r in found.items() for c in own)
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in found.values())
+    plain = corpus_pipeline.without_repeated_lines(spark, table, "")
+    assert {r.doc_id: r.text for r in plain.collect()} == {i: r.text for i, r in found.items()}
+    assert corpus_pipeline.without_repeated_lines(spark, more.limit(0), "").count() == 0
+
+
 def test_components(spark):
     chain = [(k + 1, k) for k in range(50)] + [(100, 101), (101, 102), (200, 200)]
     got = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).collect()))
