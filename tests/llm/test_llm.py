@@ -385,6 +385,17 @@ def test_passages_held_twice(spark):
         assert got == {(1, 20, 90), (2, 0, 70), (2, 200, 270)}
 
 
+@pytest.mark.parametrize("holders", [12, 40])
+def test_passages_of_pieces_with_other_first_holders(spark, holders):
+    """Two texts share 60 words whose halves are in other texts, too, few or many: they are linked all the same."""
+    for seed in (100, 200):
+        left, right = prose(30, seed), prose(30, seed + 1)
+        rows = [(k, f"{prose(40, seed + 2 + k)} {half} {prose(20, seed + 3000 + k)}") for k in range(2 * holders) for half in [(left, right)[k % 2]]]
+        rows += [(1000 + k, f"{prose(20 + k, seed + 5000 + k)} {left} {right} {prose(30, seed + 6000 + k)}") for k in range(2)]
+        got = {(r.doc_id, r.start, r.end, r.other_id) for r in chaining.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == {(1000, 20, 80, 1001), (1001, 21, 81, 1000)}
+
+
 def test_chains_after_a_long_chain():
     """A second passage of two texts is linked, however well an earlier one ended."""
     at = [*range(0, 201, 4), *range(700, 761, 4)]
