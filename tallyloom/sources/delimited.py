@@ -2,15 +2,19 @@
 
 Which lines begin a record depends on all quotes before them in the file.  Each line turns
 one state into another: between records, or inside a quoted cell.  Lines are taken in
-order within their split, splits by what they do to the state as a whole.
+order within their split, by the task that reads it, splits by what they do to the state
+as a whole; so the text isn't shuffled.
 """
 
 from __future__ import annotations
 
 import csv
 import io
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -57,7 +61,7 @@ def decoded_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Lines of files in UTF-8, or in Windows-1252 where a file is not valid UTF-8."""
     lines = read_lines(spark, paths)
     broken = lines.filter(~F.is_valid_utf8("value")).select("_path").distinct()
-    joined = lines.join(broken.withColumn("_broken", F.lit(True)), "_path", "left")
+    joined = lines.join(F.broadcast(broken.withColumn("_broken", F.lit(True))), "_path", "left")  # a row per file
     value = F.col("value")
     text = F.when(F.col("_broken"), from_windows_1252(value)).otherwise(value)
     return joined.select("_path", "_row_no", text.alias("value"))
@@ -108,53 +112,132 @@ def _applied(change: Column, state: Column) -> Column:
     return F.coalesce(change["sets"], state != (F.coalesce(change["turns"], F.lit(0)) == 1))
 
 
+def _within_splits() -> tuple:
+    """(summed, joined): what a task does with its lines, batch by batch.
+
+    Nested, so that they are sent along and workers need no copy of this package.
+    """
+
+    def states(outside: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each line ends inside a cell, if the first one begins between records or inside one."""
+        sets, turns, at = outside == inside, np.cumsum(outside & ~inside), np.arange(len(outside))
+        last = np.maximum.accumulate(np.where(sets, at, -1))
+        since = np.where(last >= 0, turns - turns[np.maximum(last, 0)], turns) % 2 == 1
+        fixed = outside[np.maximum(last, 0)]
+        return tuple(np.where(last >= 0, fixed, begin) ^ since for begin in (False, True))
+
+    def runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+        """The batch's lines by split, in order."""
+        path, block = batch.column("_path"), batch.column("_block").to_numpy()
+        new = (block[1:] != block[:-1]) | pc.not_equal(path[1:], path[:-1]).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        for start, stop in zip(edges, edges[1:], strict=False):
+            if stop > start:
+                yield (path[start].as_py(), int(block[start])), batch.slice(start, stop - start)
+
+    def flags(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("_o", "_i"))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per split: where it ends and the records that begin in it, for either state at its start."""
+        done: dict[tuple, list] = {}
+        for batch in batches:
+            for key, lines in runs(batch):
+                ends = states(*flags(lines))
+                now = done.setdefault(key, [False, True, 0, 0])
+                for k in (0, 1):
+                    begin = now[k]
+                    mine = ends[int(begin)]
+                    now[2 + k] += int(not begin) + int(np.count_nonzero(~mine[:-1]))
+                    now[k] = bool(mine[-1])
+        columns = [[key[0] for key in done], [key[1] for key in done], *([v[k] for v in done.values()] for k in range(4))]
+        types = [pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["_path", "_block", "_open0", "_open1", "_n0", "_n1"])
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Records of each split with their place; what may go on in the next split, or comes from one before, by itself.
+
+        `_part`: 0 a whole record, 1 the last one of a split, 2 lines of an earlier split's record.
+        """
+        names = ["_path", "_block", "_row_no", "_nth", "value", "_part"]
+
+        def out(key, rows, nths, values, part):
+            n = len(values)
+            columns = [pa.array([key[0]] * n, pa.string()), pa.array([key[1]] * n, pa.int64()), pa.array(rows, pa.int64()), pa.array(nths, pa.int64()), values, pa.array([part] * n, pa.int32())]
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        key, state, held = None, False, []  # of the split at hand; held: (row_no, nth, lines) of its last record
+
+        def last():
+            row, nth, lines = held
+            return out(key, [row], [nth], pa.array(["\n".join(lines)], pa.string()), 2 if nth is None else 1)
+
+        for batch in batches:
+            for split, lines in runs(batch):
+                if split != key:
+                    if held:
+                        yield last()
+                    key, state, held = split, lines.column("_begin")[0].as_py(), []
+                    seen = lines.column("_passed")[0].as_py()
+                ends = states(*flags(lines))[int(state)]
+                first = ~np.r_[state, ends[:-1]]
+                rows, values, state = lines.column("_row_no"), lines.column("value"), bool(ends[-1])
+                heads = np.flatnonzero(first)
+                before = values[: heads[0] if len(heads) else len(values)].to_pylist()
+                if before:
+                    held = held or [rows[0].as_py(), None, []]
+                    held[2].extend(before)
+                if not len(heads):
+                    continue
+                if held:
+                    whole = last()
+                    yield whole if held[1] is None else whole.set_column(5, "_part", pa.array([0], pa.int32()))
+                offsets = pa.array(heads, pa.int32())
+                texts = pc.binary_join(pa.ListArray.from_arrays(offsets, values.slice(0, int(heads[-1]))), "\n") if len(heads) > 1 else pa.array([], pa.string())
+                at = rows.to_numpy()[heads]
+                if len(texts):
+                    yield out(key, at[:-1], np.arange(seen, seen + len(texts)), texts, 0)
+                seen += len(heads)
+                held = [int(at[-1]), seen - 1, values[int(heads[-1]) :].to_pylist()]
+        if held:
+            yield last()
+
+    return summed, joined
+
+
 def _assembled(lines: DataFrame, sep: str) -> DataFrame:
     """(path, number, nth, value) of records; those of several lines have them joined.
 
-    Windows stay inside one split of a file; a row per split carries the state across.
+    Lines are joined where they are read: a row per split carries the state across, and only
+    records that may go on in the next split are put together by a shuffle.
     """
-    block = F.shiftright("_row_no", _BITS)
+    summed, joined = _within_splits()
     outside, inside = _ends_inside(F.col("value"), sep)
-    rows = lines.withColumns({"_block": block, "_o": outside, "_i": inside})
-    rows = rows.withColumns(
-        {
-            "_sets": F.when(F.col("_o") == F.col("_i"), F.col("_o")),
-            "_turns": (F.col("_o") & ~F.col("_i")).cast("int"),
-        }
-    ).drop("_o", "_i")
+    rows = lines.withColumns({"_block": F.shiftright("_row_no", _BITS), "_o": outside, "_i": inside})
     split = ["_path", "_block"]
-    rows = _staged(_carried(rows, split, "_row_no").drop("_sets", "_turns"), "lines")
-
-    splits = rows.groupBy(*split).agg(F.max_by("_after", "_row_no").alias("_all"))
-    splits = splits.select(*split, F.col("_all.sets").alias("_sets"), F.col("_all.turns").alias("_turns"))
-    splits = _carried(splits, ["_path"], "_block")
+    splits = rows.select(*split, "_o", "_i").mapInArrow(summed, "_path string, _block long, _open0 boolean, _open1 boolean, _n0 long, _n1 long")
+    zero, one = F.col("_open0"), F.col("_open1")
+    splits = splits.withColumns({"_sets": F.when(zero == one, zero), "_turns": (zero & ~one).cast("int")})
+    splits = _staged(_carried(splits, ["_path"], "_block"), "splits")
     at_start = F.lit(False)
     ends = splits.select("_path", "_block", _applied(F.col("_after"), at_start).alias("_open"))
     never = ends.groupBy("_path").agg(F.max_by("_open", "_block").alias("_open")).filter("_open").first()
     if never:
         raise SourceError(f"a quoted cell is never closed in {never._path.rsplit('/', 1)[-1]}")
-    begins = splits.select(*split, _applied(F.col("_before"), at_start).alias("_begin"))
-    rows = rows.join(begins, split)
-    rows = rows.withColumn("_first", ~_applied(F.col("_before"), F.col("_begin"))).drop("_after", "_before", "_begin")
-
-    line = Window.partitionBy(*split).orderBy("_row_no").rowsBetween(Window.unboundedPreceding, 0)
-    own = F.when(F.col("_first"), F.col("_row_no"))
-    rows = _staged(rows.withColumns({"_record": F.max(own).over(line), "_nth": F.count(own).over(line)}), "records")
-    held = rows.groupBy(*split).agg(F.max("_record").alias("_last"), F.max("_nth").alias("_held"))
     earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    held = held.select(
-        *split, F.max("_last").over(earlier).alias("_running"), F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_passed")
-    )
-    rows = rows.join(held, split).withColumn("_record", F.coalesce("_record", "_running"))
-    rest = rows.filter(~F.col("_first")).groupBy("_path", "_record")
-    rest = rest.agg(F.array_sort(F.collect_list(F.struct("_row_no", "value"))).alias("_rest"))
-    heads = rows.filter("_first").drop("_record", "_first").join(
-        rest.withColumnsRenamed({"_path": "_p", "_record": "_r"}), (F.col("_path") == F.col("_p")) & (F.col("_row_no") == F.col("_r")), "left"
-    )
-    whole = F.when(F.col("_rest").isNull(), F.col("value")).otherwise(
-        F.concat_ws("\n", F.col("value"), F.col("_rest.value"))
+    begin = F.coalesce(_applied(F.col("_before"), at_start), at_start)
+    splits = splits.withColumn("_begin", begin).select(
+        *split, "_begin", F.coalesce(F.sum(F.when(F.col("_begin"), F.col("_n1")).otherwise(F.col("_n0"))).over(earlier), F.lit(0)).alias("_passed")
     )
-    return heads.select("_path", "_row_no", (F.col("_passed") + F.col("_nth") - 1).alias("_nth"), whole.alias("value"))
+    rows = rows.join(F.broadcast(splits), split).select(*split, "_row_no", "value", "_o", "_i", "_begin", "_passed")
+    schema = "_path string, _block long, _row_no long, _nth long, value string, _part int"
+    found = _staged(rows.mapInArrow(joined, schema), "records")
+    open_ = found.filter("_part > 0")
+    sofar = Window.partitionBy("_path").orderBy("_block", "_row_no").rowsBetween(Window.unboundedPreceding, 0)
+    open_ = open_.withColumn("_record", F.max(F.when(F.col("_part") == 1, F.col("_row_no"))).over(sofar))
+    parts = F.array_sort(F.collect_list(F.struct("_row_no", "value")))["value"]
+    ended = open_.groupBy("_path", F.col("_record").alias("_row_no")).agg(F.max("_nth").alias("_nth"), F.concat_ws("\n", parts).alias("value"))
+    return found.filter("_part = 0").select("_path", "_row_no", "_nth", "value").unionByName(ended)
 
 
 def read_records(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> DataFrame:
@@ -172,12 +255,12 @@ def read_records(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> D
     passed = F.coalesce(F.sum("_n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     splits = splits.select("_path", "_block", "_top", passed.alias("_passed"), F.max("_opens").over(file).alias("_opens"))
     splits = _staged(splits, "splits")  # one row per split
-    plain = lines.withColumn("_block", block).join(splits.filter("NOT _opens"), ["_path", "_block"])
+    plain = lines.withColumn("_block", block).join(F.broadcast(splits.filter("NOT _opens")), ["_path", "_block"])
     plain = plain.select("_path", "_row_no", (F.col("_passed") + F.col("_row_no") - F.col("_top")).alias("_nth"), "value")
     opened = splits.filter("_opens").select("_path").distinct()
     if opened.isEmpty():
         return plain
-    return plain.unionByName(_assembled(lines.join(opened, "_path"), sep))
+    return plain.unionByName(_assembled(lines.join(F.broadcast(opened), "_path"), sep))
 
 
 def _header_lines(records: DataFrame, skip: int) -> DataFrame:
@@ -206,7 +289,7 @@ def scan_delimited(
     lines = read_records(spark, paths, sep)
     names_of = lambda header: unique_headers(next(csv.reader(io.StringIO(header, newline=""), delimiter=sep)))
     named, labels, widest = with_names(_header_lines(lines, skip), names_of)
-    body = lines.join(named, "_path").filter(
+    body = lines.join(F.broadcast(named), "_path").filter(
         (F.col("_row_no") > F.col("header_row")) & (F.trim("value") != "")
     )
     schema = ", ".join(f"c{i} STRING" for i in range(widest))

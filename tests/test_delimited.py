@@ -117,3 +117,22 @@ def test_delimited_export_joins_a_run(spark, grid, tmp_path):
     f.write_text(TOP + HEAD + "2026-04-01,c,Taiwan,14%,1,4,2\n2026-04-01,c,Japan,14%,1,4,2\n")
     parsed = parse_all(grid({("x", "s"): [["a"]]}), tables={"apple": scan_delimited(spark, [str(f)])})
     assert rows(parsed.facts, "Country", "CTR", "Clicks") == [("TW", 0.14, 2.0)]
+
+
+def test_records_of_several_lines_across_splits_and_batches(spark, tmp_path):
+    """Cells with many line breaks in small splits and batches; their text isn't shuffled by file."""
+    cells = [f"{i}\n" * (1 + i % 7 * (40 if i % 50 == 0 else 1)) + '""q"", \n' for i in range(16000)]
+    (tmp_path / "a.csv").write_text(TOP + "x,y\n" + "".join(f'"{c}",{i}\n' for i, c in enumerate(cells)))
+    (tmp_path / "b.csv").write_text(TOP + "y,x\n" + "".join(f"{i},p\n" for i in range(-3, 0)))
+    settings = {"spark.sql.files.maxPartitionBytes": "70k", "spark.sql.files.openCostInBytes": "1k", "spark.sql.execution.arrow.maxRecordsPerBatch": "7"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = scan_delimited(spark, [str(tmp_path)])
+        got = {int(y): x for x, y in rows(found, "x", "y")}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert got == {i: c.replace('""', '"') for i, c in enumerate(cells)} | {i: "p" for i in range(-3, 0)}
+    assert "SortMergeJoin [_path" not in plan and "ShuffledHashJoin [_path" not in plan
