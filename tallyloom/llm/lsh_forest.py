@@ -18,7 +18,6 @@ TREES, DEPTH, LEAST_DEPTH = 20, 6, 4  # sorted orders; values of a label; of the
 REGION = 512  # nodes of a region; beginnings that more share are divided
 SIDE = 8  # neighbours on either side of a node in an order
 CLASSES = 1 << 20  # of the table of shingle counts: its size is fixed
-COUNTED = 8  # one node in so many is counted for it
 SEED = 12345
 
 
@@ -140,7 +139,7 @@ def forest_links(nodes: DataFrame, rows: DataFrame, share: int) -> DataFrame:
 
 
 def class_counts(nodes: DataFrame) -> np.ndarray:
-    """How often the shingles of each class are met, in one node of COUNTED.
+    """How often the shingles of each class are met, in all nodes.
 
     It only orders the shingles: any one order serves, a good one keeps common shingles out of the prefixes."""
 
@@ -152,8 +151,7 @@ def class_counts(nodes: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["class", "n"])
 
-    some = nodes.where(F.pmod(F.xxhash64("node"), F.lit(COUNTED)) == 0).select("text")
-    found = some.mapInArrow(count, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).where("n > 1").toArrow()
+    found = nodes.select("text").mapInArrow(count, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).where("n > 1").toArrow()
     out = np.zeros(CLASSES, np.uint64)
     out[found.column("class").to_numpy()] = np.minimum(found.column("n").to_numpy(), 0xFFFF)
     return out

@@ -634,3 +634,12 @@ def test_pipeline(spark):
     assert rows.columns[:7] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert rows.count() > 0
     assert hashlib.sha256(b"").hexdigest() == secrets.op2_secret_scan(spark, "/root/testdata/sf0.001").where("n_assign + n_access + n_hex = 0").first().base_sha256
+
+
+def test_all_nodes_are_counted_for_the_order_of_shingles(spark):
+    nodes = [(k, prose(8 + k % 5, 700 + k % 9)) for k in range(40)]
+    want = np.zeros(lsh_forest.CLASSES, np.int64)
+    for _, text in nodes:
+        np.add.at(want, lsh_forest._classes(lsh_forest.shingles(text.encode(), lsh_forest.WordHashes())), 1)
+    got = lsh_forest.class_counts(spark.createDataFrame(nodes, "node long, text string"))
+    assert (got == np.where(want > 1, want, 0)).all()
