@@ -33,12 +33,12 @@ def lead_rows(raw: DataFrame) -> DataFrame:
 def lead_rows_from_grid(grid: DataFrame, heads: DataFrame) -> DataFrame:
     """As `lead_rows`, straight from cells, for files whose columns lie differently.
 
-    `heads` has a row per file with its header; each field is read at its own place.
+    `heads` has a row per file with its header; each field is read at its own place.  The rows of a file aren't shuffled by it.
     """
     places = heads.filter(F.col("header_row").isNotNull()).select(
         *SHEET, "header_row", *[position_of(c).alias(c) for c in S.LEAD_COLUMNS]
     )
-    rows = grid.filter(row_not_blank("cells")).join(places, list(SHEET))
+    rows = grid.filter(row_not_blank("cells")).join(F.broadcast(places), list(SHEET))
     rows = rows.filter(F.col("row_no") > F.col("header_row"))
     return _region_leads(
         rows.select(*[F.get("cells", F.col(f"`{c}`")).alias(c) for c in S.LEAD_COLUMNS])
