@@ -124,7 +124,8 @@ def _(t):
     from tallyloom.sources.api import campaign_days
 
     folder = scratch(t.spark, "responses")
-    t.sql(RESPONSES).write.text(folder)  # one response document per line, as received
+    # one response document per line, as received; a compressed file has one reader, so none is large
+    t.sql(RESPONSES).write.option("maxRecordsPerFile", 1 << 18).text(folder, compression="gzip")
     kept = t.spark.read.text(folder)
     days = campaign_days(kept)
     return days.agg(
