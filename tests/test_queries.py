@@ -87,3 +87,16 @@ def test_library_collects_only_metadata():
             calls = [n for n in ast.walk(fn) if isinstance(n, ast.Attribute)]
             if any(c.attr in ("collect", "toPandas", "localCheckpoint") for c in calls):
                 assert fn.name in allowed, (file, fn.name)
+
+
+def test_responses_are_landed_compressed(spark, tmp_path, monkeypatch):
+    from tallyloom.plans.queries import tables
+    from tallyloom.plans.queries.base import QUERIES
+
+    folder = tmp_path / "in"
+    rows = "id + 1 AS l_partkey, cast(id % 7 + 1 as int) AS l_linenumber, timestamp'1996-01-02' AS l_shipdate, 2.0D AS l_quantity, 3.5D AS l_extendedprice, 0.02D AS l_tax"
+    spark.range(50).selectExpr(*rows.split(", ")).write.parquet(f"{folder}/lineitem.parquet")
+    monkeypatch.setattr(tables, "scratch", lambda spark, what: f"{tmp_path}/{what}")
+    assert QUERIES["a12_raw_json_landing"](spark, str(folder)).first() == (50.0, 10000.0)
+    landed = [f.name for f in (tmp_path / "responses").glob("part-*")]
+    assert landed and all(f.endswith(".txt.gz") for f in landed)
