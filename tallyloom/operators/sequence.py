@@ -18,6 +18,7 @@ from tallyloom.schema import name
 
 BLOCK_ROWS = 1 << 20
 PIECES = 256  # quantiles of the row numbers that cuts are taken from, a power of two
+BUCKETS = 1 << 16  # of groups by their hash; a group's rows are cut into blocks only where its bucket holds more than one
 
 
 def _in_blocks(df: DataFrame, order: str, block: int) -> DataFrame:
@@ -124,16 +125,30 @@ def occurrence(
 ) -> DataFrame:
     """Number the rows of each group 1, 2, 3 … in file order; NULLs form a group.
 
-    `by` includes the file.  A block has about `block` rows of all files, so a group
-    has no more in it, however often its value repeats.
+    `by` includes the file.  Groups are dealt to buckets by hash, whose rows are counted
+    first.  A bucket of at most `block` rows holds no larger group, so its groups are
+    numbered whole; that is one shuffle of the rows and no join.  Only rows of larger
+    buckets are cut into blocks: there a group has about `block` rows in one window at
+    most, however often its value repeats, and blocks that continue a group get an offset.
     """
+    _hash = F.xxhash64(*[name(c) for c in by])  # stands first in windows: rows are sorted by a number, mostly
+    bucket = F.pmod(_hash, F.lit(BUCKETS))
+    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    large = [r.bucket for r in counts.filter(F.col("n") > block).collect()]  # at most rows / block
+    if not large:
+        whole = W.partitionBy("_hash", *[name(c) for c in by]).orderBy(order)
+        numbered = df.withColumn("_hash", _hash).withColumn(out, F.row_number().over(whole))
+        return numbered.select(*[name(c) for c in df.columns], F.col(out).cast("bigint").alias(out))
     group = _never_null(df, by)
-    keys = [*group, "_blk"]
-    blocks = _in_blocks(df, order, block).withColumns(group)
-    before = W.partitionBy(*group).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)
+    keys = ["_hash", *group, "_blk"]
+    cut = F.col("_bucket").isin(large)
+    blocks = _in_blocks(df, order, block).withColumns({**group, "_hash": _hash, "_bucket": bucket})
+    blocks = blocks.withColumn("_blk", F.when(cut, F.col("_blk")).otherwise(0))
+    before = W.partitionBy("_hash", *group).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)
     # Only blocks that continue a group need an offset; most groups sit in one block.
     offsets = (
-        blocks.groupBy(*keys)
+        blocks.filter(cut)
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_offset", F.sum("_rows").over(before))
         .filter(F.col("_offset").isNotNull())

@@ -79,6 +79,34 @@ def test_no_window_spans_a_file_and_the_rows_move_once(spark, skewed):
         assert "BatchEvalPython" not in plan and "CartesianProduct" not in plan
 
 
+def _shuffles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum("Exchange hashpartitioning" in line for line in plan.splitlines())
+
+
+def test_small_groups_are_numbered_by_one_shuffle(spark):
+    df = spark.range(300).selectExpr("IF(id % 7 = 0, NULL, id % 100) AS v", "-id AS n", "'f' AS p").repartition(5)
+    out = occurrence(df, ["p", "v"], "n", "k", 60)
+    assert _shuffles(out) == 1 and "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    seen, want = {}, []
+    for i in sorted(range(300), reverse=True):
+        v = None if i % 7 == 0 else i % 100
+        seen[v] = seen.get(v, 0) + 1
+        want.append((v, -i, "f", seen[v]))
+    assert rows(out) == want
+    assert out.schema == occurrence(df, ["p", "v"], "n", "k", 20).schema
+
+
+def test_only_rows_of_large_groups_are_cut(spark):
+    values = ["hot" if i % 3 else f"v{i % 30}" for i in range(900)]
+    df = spark.createDataFrame([("f", i, v) for i, v in enumerate(values)], "p string, n bigint, v string").repartition(5)
+    seen, want = {}, []
+    for i, v in enumerate(values):
+        seen[v] = seen.get(v, 0) + 1
+        want.append(("f", i, v, seen[v]))
+    assert rows(occurrence(df, ["p", "v"], "n", "k", 100)) == want
+
+
 def test_newest_breaks_ties_by_name(spark):
     df = spark.createDataFrame([("s", 1, "b"), ("s", 2, "z"), ("s", 2, "y"), ("t", 0, "q")], "s string, d int, p string")
     assert rows(newest_per_group(df, "s", F.col("d"), "p")) == [("s", "y"), ("t", "q")]
