@@ -86,15 +86,17 @@ def gate(frame: DataFrame, labels: Sequence[str]) -> tuple[DataFrame, list[tuple
 
 
 def staged_once(frame: DataFrame, labels: Sequence[str]) -> tuple[DataFrame, dict[str, tuple[int, str | None]], str]:
-    """The frame written once by source and read again, (rows, reason) by label, and its folder.
+    """The frame written once and read again, (rows, reason) by label, and its folder.
 
     Rows and faults are observed while the rows are written, so nothing is computed twice.
+    The files aren't split by source, as each task would sort all its rows for that; they
+    mostly hold one source each, so a filter on it skips those of the others.
     """
     spark, folder, seen = frame.sparkSession, scratch(frame.sparkSession, "parsed"), Observation()
     mine = [F.col("_source") == label for label in labels]
     metrics = [F.count_if(m).alias(f"rows{i}") for i, m in enumerate(mine)]
     metrics += [F.min(F.when(m, F.col(FAULT))).alias(f"fault{i}") for i, m in enumerate(mine)]
-    frame.observe(seen, *metrics).write.partitionBy("_source").parquet(folder)
+    frame.observe(seen, *metrics).write.parquet(folder)
     found = seen.get
     status = {label: (found[f"rows{i}"], found[f"fault{i}"]) for i, label in enumerate(labels)}
     return spark.read.schema(frame.schema).parquet(folder), status, folder
@@ -187,7 +189,7 @@ def _leads(grid, files, sheets) -> tuple[DataFrame, str]:
         seen,
         *[F.count_if(F.col("feed") == k).alias(k) for k in LEAD_KEYS],
         F.count_if((F.col("feed") == "ft") & funded("Stage")).alias("funded"),
-    ).write.partitionBy("feed").parquet(folder)
+    ).write.parquet(folder)
     for what, why in (
         ("ql", "QL: no valid rows"),
         ("ft", "FT: no valid rows"),
