@@ -28,6 +28,8 @@ GRID_SCHEMA = T.StructType(
     ]
 )
 SHEET = ("path", "sheet", "sheet_no")
+OPEN_FILES = 16  # sources whose rows a task lands unsorted, a file open for each; with more, Spark sorts the rest
+ROW_GROUP = 32 << 20  # bytes, so that a task's open files hold 512 MB at most
 
 
 def scan_grid(spark: SparkSession, folder: str, source: str | None = None, fmt="parquet") -> DataFrame:
@@ -37,7 +39,18 @@ def scan_grid(spark: SparkSession, folder: str, source: str | None = None, fmt="
 
 
 def land_grid(grid: DataFrame, folder: str, mode: str = "append") -> None:
-    grid.write.mode(mode).partitionBy("source").parquet(folder)
+    """Write the grid, split by source.
+
+    A task would sort all its rows by source in memory, which grows with them; it keeps a
+    file open for each source instead.  That is a setting of the session, put back at the end.
+    """
+    conf, key = grid.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key)
+    conf.set(key, str(OPEN_FILES))
+    try:
+        grid.write.mode(mode).option("parquet.block.size", ROW_GROUP).partitionBy("source").parquet(folder)
+    finally:
+        conf.set(key, before)
 
 
 # Header rows -------------------------------------------------------------------

@@ -6,10 +6,10 @@ import pytest
 from conftest import rows
 from tallyloom.operators.counts import profile, run_summary
 from tallyloom.plans.api_combine import combine
-from tallyloom.plans.batch import deduplicated, parse_all, run
+from tallyloom.plans.batch import deduplicated, parse_all, run, staged_once
 from tallyloom.settings import LEAD_COLUMNS, RunOptions
 from tallyloom.sources.files import list_files, newest_files
-from tallyloom.sources.grids import GRID_SCHEMA
+from tallyloom.sources.grids import GRID_SCHEMA, OPEN_FILES, land_grid, scan_grid
 from tallyloom.sources.registry import LEADS_LABEL, SOURCES
 from tallyloom.sources.tables import read_facts, upsert
 from tallyloom.streaming.intake import intake
@@ -282,3 +282,25 @@ def test_seen_per_source_lists_countries_outside_the_region(spark):
 
     df = spark.createDataFrame([("a", "AU"), ("a", "Peru"), ("a", None), ("b", None)], "_source string, Country string")
     assert {r[0]: (r[1], r[2]) for r in seen_per_source(df).collect()} == {"a": (3, ["AU", "Peru"]), "b": (1, [])}
+
+
+def test_rows_are_staged_in_their_order(spark):
+    """A task's rows aren't sorted by source on their way to the staged files."""
+    frame = spark.range(0, 100, 1, 1).selectExpr("id", "IF(id % 2 = 0, 'a', 'b') AS _source", "IF(id = 7, 'bad', NULL) AS _fault")
+    staged, status, _ = staged_once(frame, ["a", "b", "c"])
+    assert [r.id for r in staged.collect()] == list(range(100))
+    assert status == {"a": (50, None), "b": (50, "bad"), "c": (0, None)}
+
+
+def test_landing_keeps_a_file_open_for_each_source(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    key, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (seen.append(spark.conf.get(key)), write(self, path)))
+    before = spark.conf.get(key)
+    many = OPEN_FILES + 4
+    grid = spark.range(0, 400, 1, 1).selectExpr(f"concat('s', id % {many}) AS source", "'p' AS path", "'x' AS sheet", "1 AS sheet_no", "id AS row_no", "array(string(id)) AS cells")
+    land_grid(grid, f"{tmp_path}/landing")
+    assert seen == [str(OPEN_FILES)] and spark.conf.get(key) == before
+    assert rows(scan_grid(spark, f"{tmp_path}/landing"), "source", "row_no") == rows(grid, "source", "row_no")
+    assert scan_grid(spark, f"{tmp_path}/landing", "s3").count() == 400 // many
