@@ -643,3 +643,15 @@ def test_all_nodes_are_counted_for_the_order_of_shingles(spark):
         np.add.at(want, lsh_forest._classes(lsh_forest.shingles(text.encode(), lsh_forest.WordHashes())), 1)
     got = lsh_forest.class_counts(spark.createDataFrame(nodes, "node long, text string"))
     assert (got == np.where(want > 1, want, 0)).all()
+
+
+def test_shuffles_of_scratch_tables_are_deleted(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from tallyloom.llm.common import CLEANUP, written
+
+    seen, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (seen.append(spark.conf.get(CLEANUP)), write(self, path)))
+    before = spark.conf.get(CLEANUP)
+    assert written(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "few").count() == 7
+    assert seen == ["true"] and spark.conf.get(CLEANUP) == before
