@@ -655,3 +655,37 @@ def test_shuffles_of_scratch_tables_are_deleted(spark, monkeypatch):
     before = spark.conf.get(CLEANUP)
     assert written(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "few").count() == 7
     assert seen == ["true"] and spark.conf.get(CLEANUP) == before
+
+
+def test_parities_part_unlike_lines_before_they_are_written(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    names = np.array([f"w{k}" for k in range(3000)])
+    lines, texts_ = [], []
+    for n in [*range(4, 44), 60, 120, 300]:
+        line = rng.choice(names, n, replace=False)
+        other = line.copy()
+        other[: n // 10] = rng.choice(names, n // 10, replace=False)
+        lines += [line, other]
+    common = ["rare1", "rare2"]  # unlike lines that share what they are joined on
+    lines += [np.array([*common, *rng.choice(names, 30, replace=False)]) for _ in range(12)]
+    texts_ = [(k, " ".join(line)) for k, line in enumerate(lines)]
+    docs = spark.createDataFrame(texts_, "doc_id long, text string")
+    sets, written_pairs = [set(x) for x in lines], []
+    want = {k for k in range(len(sets)) if any(9 * len(sets[k] & sets[j]) >= 4 * (len(sets[k]) + len(sets[j])) for j in range(k))}
+    keep = line_join.written
+    monkeypatch.setattr(line_join, "written", lambda df, name: (out := keep(df, name), written_pairs.append(out.count()) if name == "line-pairs" else None)[0])
+    assert {r.doc_id for r in line_join.removed_lines(docs).collect()} == want and len(want) >= 30
+    assert written_pairs[0] < 60, written_pairs  # the twelve make 66 pairs alone
+
+
+def test_parities_differ_in_at_most_the_words_of_one_side(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for n in (1, 5, 40, 400):
+        a = rng.integers(0, 1 << 62, n).tolist()
+        rows.append((a, a[n // 3 :] + rng.integers(0, 1 << 62, n // 4).tolist()))
+    found = spark.createDataFrame(rows, "a array<long>, b array<long>").select("a", "b", line_join.parities(F.col("a")).alias("x"), line_join.parities(F.col("b")).alias("y"))
+    for r in found.collect():
+        odd = lambda codes: sum((1 << k) for k in range(128) if sum(c & 127 == k for c in codes) % 2)
+        assert [r.x.low % 2**64 + (r.x.high % 2**64 << 64), r.y.low % 2**64 + (r.y.high % 2**64 << 64)] == [odd(r.a), odd(r.b)]
+        assert (odd(r.a) ^ odd(r.b)).bit_count() <= len(set(r.a) ^ set(r.b))
