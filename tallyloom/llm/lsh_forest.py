@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import WordHashes, kept_in_worker, table, texts, windows_hashed, written
+from tallyloom.llm.common import FEW_ROWS, WordHashes, kept_in_worker, table, texts, windows_hashed, written
 from tallyloom.llm.components import components
 
 WIDTH = 5  # words of a shingle
@@ -58,7 +58,7 @@ def signed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), batch.column("text")], ["doc_id", "k1", "k2", "n_shingles", "sig", "text"])
 
     rows = docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, k1 long, k2 long, n_shingles long, sig binary, text string")
-    return written(rows.withColumn("row_id", F.monotonically_increasing_id()), "signed")
+    return written(rows.withColumn("row_id", F.monotonically_increasing_id()), "signed", FEW_ROWS)
 
 
 def regions(nodes: DataFrame) -> DataFrame:
@@ -133,9 +133,9 @@ def apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 def forest_links(nodes: DataFrame, rows: DataFrame, share: int) -> DataFrame:
     """(a, b): links that the forest finds: next neighbours first, further ones where these left nodes apart."""
     pairs = written(candidate_pairs(written(regions(nodes.select("node", "sig")), "regions")), "pairs")
-    links = written(verified(pairs.where("step = 1"), rows, share), "confirmed")
+    links = written(verified(pairs.where("step = 1"), rows, share), "confirmed", FEW_ROWS)
     further = written(apart(pairs.where("step > 1"), components(links)), "further")
-    return written(links.union(verified(further, rows, share)), "forest-links")
+    return written(links.union(verified(further, rows, share)), "forest-links", FEW_ROWS)
 
 
 def class_counts(nodes: DataFrame) -> np.ndarray:
@@ -182,7 +182,7 @@ def prefixes(nodes: DataFrame, share: int) -> DataFrame:
             columns = [np.concatenate(keys).view(np.int64), np.repeat(batch.column("node").to_numpy(), lengths), np.repeat(np.array(sizes, np.int32), lengths), np.concatenate(at)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "node", "n", "at"])
 
-    rows = written(nodes.select("node", "text").mapInArrow(cut, "key long, node long, n int, at int"), "prefixes")
+    rows = written(nodes.select("node", "text").mapInArrow(cut, "key long, node long, n int, at int"), "prefixes", FEW_ROWS)
     several = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
     return written(rows.join(several.hint("shuffle_hash"), "key", "left_semi"), "shared-prefixes")
 
@@ -229,7 +229,7 @@ def verified(pairs: DataFrame, rows: DataFrame, share: int) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("row_id"), pa.array([shingles(x, memo).tobytes() for x in texts(batch)], pa.binary())], ["row_id", "found"])
 
-    sets = written(held.mapInArrow(to_sets, "row_id long, found binary"), "sets")
+    sets = written(held.mapInArrow(to_sets, "row_id long, found binary"), "sets", FEW_ROWS)
     both = pairs.select("a", "b").join(sets.select(F.col("row_id").alias("b"), F.col("found").alias("found_b")), "b").join(sets.select(F.col("row_id").alias("a"), F.col("found").alias("found_a")), "a")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +267,7 @@ def near_duplicates(docs: DataFrame, share: int = 85) -> DataFrame:
     shared = prefixes(nodes, share)
     for found in (hub_pairs, cross_pairs):
         pairs = written(found(shared, components(links), share), found.__name__)
-        links = written(links.union(verified(pairs, rows, share)), "all-links")
+        links = written(links.union(verified(pairs, rows, share)), "all-links", FEW_ROWS)
     groups = components(links)
     labelled = sets.join(groups, "node", "left").select("k1", "k2", "least_id", F.coalesce("component", "node").alias("component"))
     least = labelled.groupBy("component").agg(F.min("least_id").alias("component_id"))

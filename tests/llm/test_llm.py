@@ -689,3 +689,25 @@ def test_parities_differ_in_at_most_the_words_of_one_side(spark):
         odd = lambda codes: sum((1 << k) for k in range(128) if sum(c & 127 == k for c in codes) % 2)
         assert [r.x.low % 2**64 + (r.x.high % 2**64 << 64), r.y.low % 2**64 + (r.y.high % 2**64 << 64)] == [odd(r.a), odd(r.b)]
         assert (odd(r.a) ^ odd(r.b)).bit_count() <= len(set(r.a) ^ set(r.b))
+
+
+def test_batches_of_texts_are_small(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from tallyloom.llm import common
+
+    seen, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (seen.append(int(spark.conf.get(common.ROWS_A_BATCH))), write(self, path)))
+    before = spark.conf.get(common.ROWS_A_BATCH)
+    docs = spark.createDataFrame([(k, prose(8, k)) for k in range(30)], "doc_id long, text string")
+    lsh_forest.signed(docs)
+    lsh_forest.prefixes(docs.select(F.col("doc_id").alias("node"), "text"), 85)
+    assert seen[:2] == [common.FEW_ROWS] * 2
+    seen.clear()
+    for own, want in (("7", 7), ("0", common.FEW_ROWS)):
+        spark.conf.set(common.ROWS_A_BATCH, own)
+        try:
+            common.written(spark.range(3), "few", common.FEW_ROWS)
+            assert seen[-1] == want and spark.conf.get(common.ROWS_A_BATCH) == own
+        finally:
+            spark.conf.set(common.ROWS_A_BATCH, before)
