@@ -711,3 +711,15 @@ def test_batches_of_texts_are_small(spark, monkeypatch):
             assert seen[-1] == want and spark.conf.get(common.ROWS_A_BATCH) == own
         finally:
             spark.conf.set(common.ROWS_A_BATCH, before)
+
+
+def test_packing_holds_few_texts_and_pieces(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from tallyloom.llm import common, ids
+
+    seen, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (seen.append(int(spark.conf.get(common.ROWS_A_BATCH))), write(self, path)))
+    docs = spark.createDataFrame([(k, "web", prose(8, k)) for k in range(30)], "doc_id long, source string, text string")
+    packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    assert seen[0] == 2 * common.FEW_ROWS and ids.PIECES_KEPT <= 700_000
