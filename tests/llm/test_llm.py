@@ -678,6 +678,27 @@ def test_parities_part_unlike_lines_before_they_are_written(spark, monkeypatch):
     assert written_pairs[0] < 60, written_pairs  # the twelve make 66 pairs alone
 
 
+def test_common_words_are_no_keys_of_their_own(spark, monkeypatch):
+    """Unlike lines that share their rarest word aren't compared with each other where it stands in many texts; all similar ones are found."""
+    rng, lines = np.random.default_rng(9), []
+    names = np.array([f"w{k}" for k in range(400)])
+    for n in [*range(4, 60), 100, 150]:
+        line = rng.choice(names, n, replace=False)
+        other = line.copy()
+        other[: n // 10] = rng.choice(names, n // 10, replace=False)
+        lines += [line, other, rng.permutation(line)[: n - n // 5], np.array([*line, *(f"x{n}y{k}" for k in range(n // 4))])]
+    lines += [np.array(["one", *rng.choice(names, 40, replace=False)]) for _ in range(200)]
+    docs = spark.createDataFrame([(k, " ".join(line)) for k, line in enumerate(lines)], "doc_id long, text string")
+    sets, postings = [set(x) for x in lines], []
+    want = {k for k in range(len(sets)) if any(9 * len(sets[k] & sets[j]) >= 4 * (len(sets[k]) + len(sets[j])) for j in range(k))}
+    join = line_join.similar
+    monkeypatch.setattr(line_join, "similar", lambda rows: (postings.append(rows.groupBy("key").count().agg(F.max("count")).first()[0] or 0), join(rows))[1])
+    for rare in (0, 1 << 20):
+        monkeypatch.setattr(line_join, "RARE", rare)
+        assert {r.doc_id for r in line_join.removed_lines(docs).collect()} == want and len(want) >= 150, rare
+    assert max(postings[: line_join.PASSES]) < 20 < max(postings[-line_join.PASSES :]), postings
+
+
 def test_parities_differ_in_at_most_the_words_of_one_side(spark):
     rng = np.random.default_rng(8)
     rows = []
