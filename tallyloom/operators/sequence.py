@@ -134,14 +134,14 @@ def occurrence(
     _hash = F.xxhash64(*[name(c) for c in by])  # stands first in windows: rows are sorted by a number, mostly
     bucket = F.pmod(_hash, F.lit(BUCKETS))
     counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    large = [r.bucket for r in counts.filter(F.col("n") > block).collect()]  # at most rows / block
-    if not large:
+    large = counts.filter(F.col("n") > block)  # at most rows / block
+    if large.isEmpty():
         whole = W.partitionBy("_hash", *[name(c) for c in by]).orderBy(order)
         numbered = df.withColumn("_hash", _hash).withColumn(out, F.row_number().over(whole))
         return numbered.select(*[name(c) for c in df.columns], F.col(out).cast("bigint").alias(out))
     group = _never_null(df, by)
     keys = ["_hash", *group, "_blk"]
-    cut = F.col("_bucket").isin(large)
+    cut = F.array_contains(large.agg(F.collect_list("bucket")).scalar(), F.col("_bucket"))
     blocks = _in_blocks(df, order, block).withColumns({**group, "_hash": _hash, "_bucket": bucket})
     blocks = blocks.withColumn("_blk", F.when(cut, F.col("_blk")).otherwise(0))
     before = W.partitionBy("_hash", *group).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)
