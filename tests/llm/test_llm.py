@@ -678,6 +678,18 @@ def test_parities_part_unlike_lines_before_they_are_written(spark, monkeypatch):
     assert written_pairs[0] < 60, written_pairs  # the twelve make 66 pairs alone
 
 
+def test_of_alike_lines_the_earliest_is_compared_first(spark, monkeypatch):
+    """Thirty lines with one word changed each make 435 pairs; 29 are joined with their words, and the rest isn't needed."""
+    base = [f"w{k}" for k in range(30)]
+    rows = [(k, " ".join([*base[:k], f"n{k}", *base[k + 1 :]])) for k in range(30)]
+    rows += [(30, " ".join(base[:24])), (31, " ".join([*base[:22], "x1", "x2"]))]
+    keep, counts = line_join.written, {}
+    monkeypatch.setattr(line_join, "written", lambda df, name: (out := keep(df, name), counts.setdefault(name, out.count()))[0])
+    got = {(r.doc_id, r.line_no) for r in line_join.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == lines_removed(rows) and len(got) >= 30
+    assert counts["line-earliest"] <= 31 < 435 <= counts["line-partners"], counts
+
+
 def test_common_words_are_no_keys_of_their_own(spark, monkeypatch):
     """Unlike lines that share their rarest word aren't compared with each other where it stands in many texts; all similar ones are found."""
     rng, lines = np.random.default_rng(9), []
